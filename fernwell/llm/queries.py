@@ -77,3 +77,10 @@ SELECT conv_id AS pair_id, max(k) AS n_prompt_turns,
     FILTER (WHERE side = 'r' AND i > k AND role = 'assistant'), '') AS rejected_loss
 FROM p GROUP BY conv_id
 """
+
+
+@_query
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import scan
+
+    return scan(table(spark, sf_dir, "documents"))
