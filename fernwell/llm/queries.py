@@ -84,3 +84,10 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
