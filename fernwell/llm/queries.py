@@ -91,3 +91,10 @@ def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import link_components
+
+    return link_components(table(spark, sf_dir, "documents"))
