@@ -53,8 +53,19 @@ _LIST_SAMPLE = 4096
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(off: np.ndarray, data: np.ndarray, words: int) -> list[np.ndarray]:
-    """Sorted distinct 64-bit shingles of each document."""
+def shingle_sets(off: np.ndarray, data: np.ndarray, words: int, slice_bytes: int = 1 << 20) -> list[np.ndarray]:
+    """Sorted distinct 64-bit shingles of each document; works on slices of bounded size, or on
+    one document where it is longer."""
+    out: list[np.ndarray] = []
+    at, n = 0, len(off) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(off, off[at] + slice_bytes, "right")) - 1)
+        out += _sets_of_slice(off[at : to + 1] - off[at], data[off[at] : off[to]], words)
+        at = to
+    return out
+
+
+def _sets_of_slice(off: np.ndarray, data: np.ndarray, words: int) -> list[np.ndarray]:
     n_docs = len(off) - 1
     data = lower_ascii(data)
     # a separator after each document keeps words from running together
@@ -125,18 +136,20 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_by
     docs = documents_of(docs)
 
     def describe(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            sets = shingle_sets(*column_bytes(b["text"]), words)
-            dg = [digest(s) for s in sets]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": b["doc_id"],
-                    "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "d1": pa.array([x[0] for x in dg], pa.int64()),
-                    "d2": pa.array([x[1] for x in dg], pa.int64()),
-                    "some": pa.array([s[s % np.uint64(_LIST_SAMPLE) == 0].view(np.int64) for s in sets], pa.list_(pa.int64())),
-                }
-            )
+        for whole in it:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                sets = shingle_sets(*column_bytes(b["text"]), words)
+                dg = [digest(s) for s in sets]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": b["doc_id"],
+                        "n": pa.array([len(s) for s in sets], pa.int64()),
+                        "d1": pa.array([x[0] for x in dg], pa.int64()),
+                        "d2": pa.array([x[1] for x in dg], pa.int64()),
+                        "some": pa.array([s[s % np.uint64(_LIST_SAMPLE) == 0].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    }
+                )
 
     seen = stash(docs.mapInArrow(describe, "doc_id long, n long, d1 long, d2 long, some array<long>"), "sets")
     classes = seen.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
