@@ -98,3 +98,24 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import link_components
 
     return link_components(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    """Where the installed public tokenizers have a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query
+def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@_query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .grammar import through_files
+
+    return through_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
