@@ -119,3 +119,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .grammar import through_files
 
     return through_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@_query
+def op10_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
