@@ -126,3 +126,10 @@ def op10_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score_documents
 
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op3_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
