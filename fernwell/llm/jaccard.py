@@ -130,7 +130,7 @@ def boundary(sizes: list[tuple[int, int]], list_length: float, percent: int) ->
     return best
 
 
-def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20, pivot_rounds: int = 2) -> DataFrame:
+def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20, pivot_rounds: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id of every document; links at 100 * common >= percent * all."""
     total = text_bytes(docs)
     docs = documents_of(docs)
@@ -152,7 +152,8 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_by
                 )
 
     seen = stash(docs.mapInArrow(describe, "doc_id long, n long, d1 long, d2 long, some array<long>"), "sets")
-    classes = seen.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
+    # written, so that the join below deals its rows by itself and a hot class can be split there
+    classes = stash(seen.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "reps")
     reps = classes.select(F.col("rep").alias("doc_id"), "d1", "n")
     # sizes fall into steps of an eighth, so that what is gathered does not grow with the table
     step = F.floor(F.log2("n") * 8)
@@ -325,38 +326,42 @@ def _resolve(lists: DataFrame, percent: int, pivot_rounds: int) -> DataFrame:
         near_limit = 2 * percent - 100
         most = F.coalesce("common", F.least("na", "nb"))  # unknown: as much as sizes allow
         at = at.withColumn("near", ~F.col("linked") & (100 * most >= near_limit * (F.col("na") + F.col("nb") - most)))
-        near = at.where("near").select("sig", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("a").alias("pivot"))
+        # the pivot's partners are in its component; so may be what is near it, by other lists
+        near = _apart(at.where("near"), comp, ["sig", "a", "b", "nb"]).select("sig", F.col("b").alias("y"), F.col("nb").alias("ny"))
         partner = at.where("linked").select("sig", F.col("b").alias("x"), F.col("nb").alias("nx"))
         cross = (
             near.join(partner, "sig")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb"))
             .where(fits)
         )
-        cross = _apart(cross.distinct(), comp)
-        extra = checked(cross)
+        extra = checked(cross.distinct())
         links = links.unionByName(extra.where(link).select("a", "b"))
         rest = at.where("NOT linked").select("sig", F.col("b").alias("doc_id"), F.col("nb").alias("n"))
-        open_lists = rest.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").select("sig")
+        comp = components(links, "classes")
+        rest = rest.join(comp.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
+            "sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
+        )
+        # lists whose members are in one component by now are done
+        open_lists = rest.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("sig")
         entries = stash(rest.join(open_lists, "sig"), "rest")
         if entries.isEmpty():
-            return components(links, "classes")
-    comp = components(links, "classes")
-    x = entries.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"))
-    y = entries.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    pairs = x.join(y, "sig").where("a < b").where(fits).select("a", "b", "na", "nb").distinct()
-    last = checked(_apart(pairs, comp))
+            return comp
+    x = entries.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+    y = entries.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+    pairs = x.join(y, "sig").where("a < b AND ca <> cb").where(fits).select("a", "b", "na", "nb").distinct()
+    last = checked(pairs)
     return components(links.unionByName(last.where(link).select("a", "b")), "classes")
 
 
-def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component yet."""
+def _apart(pairs: DataFrame, comp: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs (a, b, ...) whose ends are not in one component yet."""
     left = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     right = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     return (
         pairs.join(left, "a", "left")
         .join(right, "b", "left")
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        .select("a", "b", "na", "nb")
+        .select(*columns)
     )
 
 
