@@ -133,3 +133,10 @@ def op3_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embeddings import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find
+
+    return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
