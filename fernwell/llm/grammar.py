@@ -57,12 +57,13 @@ def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int =
             break
         often = often[np.argsort(-n[often], kind="stable")][:room]
         pairs = s[first[often]]
-        order = np.argsort(pairs)
-        at = np.searchsorted(pairs[order], key)
-        at[at == len(pairs)] = 0
-        hit = pairs[order][at] == key
-        rank = np.full(len(seq) + 1, -1, np.int64)  # high: frequent
-        rank[open_[hit]] = len(pairs) - order[at[hit]]
+        # pairs are looked up in a hash table; of pairs that fall together the most frequent stays
+        table = np.zeros(1 << 20, np.uint16)
+        table[_slot(pairs[::-1])] = np.arange(len(pairs) - 1, -1, -1)
+        at = table[_slot(key)]
+        hit = pairs[at] == key
+        rank = np.full(len(seq) + 1, -1, np.int32)  # high: frequent
+        rank[open_[hit]] = len(pairs) - at[hit].astype(np.int32)
         # keep places that outrank the place before and are not outranked by the next
         here = rank[:-1]
         keep = (here > 0) & (here >= rank[1:])
@@ -77,7 +78,7 @@ def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int =
         gone = np.zeros(len(seq), bool)
         gone[where + 1] = True
         seq, last = seq[~gone], last[~gone]
-        if len(where) < len(seq) // 500:
+        if len(where) < len(seq) // 200:
             break
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     size = _sizes(table, vocabulary)
@@ -96,6 +97,10 @@ def _sizes(table: np.ndarray, vocabulary: int) -> np.ndarray:
     return size
 
 
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return (keys * np.uint32(2654435761)) >> np.uint32(12)
+
+
 class Shard:
     """A payload opened for reading."""
 

@@ -29,8 +29,9 @@ from .shared import column_bytes, ranges
 #: Pattern by which byte-level tokenizers of this kind cut a text; a fixed value of the format.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
-_WORD_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-_CACHE_LIMIT = 300_000
+_WORD_PARTS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+")
+#: Pieces in each of the two generations of a worker's cache.
+_CACHE_LIMIT = 250_000
 
 
 @lru_cache(maxsize=1)
@@ -49,8 +50,8 @@ def _raw(token: str) -> bytes:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Callable[[str], bytes]:
-    """Ids of one piece as little-endian 16-bit integers, for a tokenizer file."""
+def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids of pieces as little-endian 16-bit integers, for a tokenizer file."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import tiktoken
     from tokenizers import Tokenizer
@@ -70,7 +71,7 @@ def encoder(path: str) -> Callable[[str], bytes]:
     if not suffix:
         specials = {t.content for t in own.get_added_tokens_decoder().values()}
         enc = tiktoken.Encoding("bytes", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks={_raw(t): i for t, i in vocab.items() if t not in specials}, special_tokens={})
-        return lambda text: array("H", enc.encode_ordinary(text)).tobytes()
+        return lambda pieces: [array("H", enc.encode_ordinary(text)).tobytes() for text in pieces]
 
     # Word ends: the suffix is one more byte after the word, which its last byte takes up first.
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -88,19 +89,34 @@ def encoder(path: str) -> Callable[[str], bytes]:
         ids[1000 + i] = vocab[token]
     enc = tiktoken.Encoding("words", pat_str=r"[^\x01]+\x01", mergeable_ranks=ranks, special_tokens={})
 
-    def fast(text: str) -> bytes:
-        word = text.strip(" \t\n\r\x0b\x0c")
-        if not word:
-            return b""
-        if not _PLAIN.fullmatch(word):
-            return slow(text)
-        parts = _WORD_PARTS.findall(word.lower())
-        return array("H", [ids[r] for r in enc.encode_ordinary("\x01".join(parts) + "\x01")]).tobytes()
+    id_of = np.zeros(1_000_256, np.uint16)
+    id_of[list(ids)] = list(ids.values())
+
+    def fast(pieces: list[str]) -> list[bytes]:
+        """All plain words in one call, told apart by a line feed, which is in none of them."""
+        out: list[bytes] = [b""] * len(pieces)
+        plain = []
+        for i, text in enumerate(pieces):
+            word = text.strip(" \t\n\r\x0b\x0c")
+            if _PLAIN.fullmatch(word):
+                plain.append((i, word))
+            elif word:
+                out[i] = slow(text)
+        if plain:
+            parts = _WORD_PARTS.findall("\n".join([w for _, w in plain]).lower())
+            ranks_ = np.array(enc.encode_ordinary("\x01".join(parts) + "\x01"), np.int64)
+            ends = [*(np.flatnonzero(ranks_ == 10) * 2).tolist(), 2 * len(ranks_)]  # rank 10: a line feed as a word
+            blob = id_of[ranks_].tobytes()
+            at = 0
+            for (i, _), e in zip(plain, ends, strict=True):
+                out[i] = blob[at:e]
+                at = e + 2
+        return out
 
     return fast
 
 
-_CACHES: dict[str, dict[bytes, bytes]] = {}
+_CACHES: dict[str, tuple[dict[bytes, bytes], dict[bytes, bytes]]] = {}
 
 
 def encode_texts(path: str, texts: pa.Array, slice_bytes: int = 6 << 20):  # noqa: ANN201
@@ -126,15 +142,15 @@ def _encode_slice(path: str, off: np.ndarray, data: np.ndarray) -> tuple[np.ndar
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
-    cache = _CACHES.setdefault(path, {})
-    if len(cache) > _CACHE_LIMIT:
-        cache.clear()
-    enc, distinct, got = encoder(path), coded.dictionary.to_pylist(), []
-    for w in distinct:
-        ids = cache.get(w)
-        if ids is None:
-            ids = cache[w] = enc(w.decode("utf-8", "replace"))
-        got.append(ids)
+    young, old = _CACHES.setdefault(path, ({}, {}))
+    if len(young) > _CACHE_LIMIT:
+        young, old = _CACHES[path] = ({}, young)
+    distinct = coded.dictionary.to_pylist()
+    got = [young.get(w) or old.get(w) for w in distinct]
+    missing = [i for i, x in enumerate(got) if x is None]
+    for i, x in zip(missing, encoder(path)([distinct[i].decode("utf-8", "replace") for i in missing]), strict=True):
+        got[i] = x
+    young.update(zip(distinct, got, strict=True))
     flat = np.frombuffer(b"".join(got), np.uint16)
     size = np.fromiter(map(len, got), np.int64, len(got)) // 2
     begin = np.cumsum(size) - size
