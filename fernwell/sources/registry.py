@@ -1 +1,96 @@
-"""placeholder"""
+"""Readers and writers of corpus files: JSON lines with three ways to take bad lines, manifests,
+folders of JSON documents, graph tables; sinks; merge on key; a paged source as a Python data
+source."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+PROTOCOLS = (
+    "pmcid string, doi string, organoid_type string, species string, source_cell_type string, matrix string, base_media string,"
+    " base_media_reporting string, first_author string, year string, journal string, license string, gold_candidate string,"
+    " n_signaling_factors int, n_supplements int, n_figure_confirmed int, reagents_grounded int, reagents_total int, grounding_rate double,"
+    " extractor string, passaging string, timeline string, assay_endpoints string, publication_type string, is_generation_protocol boolean"
+)
+REAGENTS = (
+    "id bigint, pmcid string, doi string, organoid_type string, kind string, name string, canonical string, role string, value double, unit string,"
+    " canonical_unit string, evidence_quote string, grounded int, suspect_unit int, figure_confirmed int"
+)
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: str, bad: str = "fail") -> DataFrame:
+    """bad: fail (one bad line ends the query), drop, or keep (in column _bad)."""
+    if bad == "keep":
+        return spark.read.schema(f"{schema}, _bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
+    return spark.read.schema(schema).option("mode", {"fail": "FAILFAST", "drop": "DROPMALFORMED"}[bad]).json(path)
+
+
+def read_manifest(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """Delimited text with a header; a byte order mark before the first name is dropped."""
+    df = spark.read.option("sep", sep).option("header", True).csv(path)
+    return df.toDF(*[c.lstrip("﻿") for c in df.columns])
+
+
+def read_folder(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One JSON document a file; stem is the file's name without its ending."""
+    df = spark.read.schema(schema).option("multiLine", True).json(path)
+    return df.withColumn("stem", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1))
+
+
+def read_graph(spark: SparkSession, nodes: str, edges: str) -> tuple[DataFrame, DataFrame]:
+    n = read_manifest(spark, nodes).where("id IS NOT NULL AND id <> ''").na.fill("")
+    e = read_manifest(spark, edges).where("subject <> '' AND object <> ''").na.fill("")
+    return n, e
+
+
+def write_json_lines(df: DataFrame, path: str, quote: str | None = "evidence_quote", cap: int = 500) -> None:
+    """Quotes are cut to a cap."""
+    if quote in df.columns:
+        df = df.withColumn(quote, F.substring(quote, 1, cap))
+    df.write.mode("overwrite").json(path)
+
+
+def write_table(df: DataFrame, path: str, columns: list[str], sep: str = "\t") -> None:
+    df.select(*columns).write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
+
+
+def merge_on_key(prior: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """Prior rows whose key was not made again, and the fresh ones."""
+    return prior.join(fresh.select(key).distinct(), key, "left_anti").unionByName(fresh)
+
+
+class PagedSource(DataSource):
+    """Pages of rows by a cursor, from recorded pages (option `pages`: a JSON list of lists of
+    [id, title]); one partition a page."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "fernwell_pages"
+
+    def schema(self) -> str:
+        return "page int, id string, title string"
+
+    def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
+        return _Reader(json.loads(self.options.get("pages", "[]")))
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, pages: list) -> None:
+        self.pages = pages
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(i) for i in range(len(self.pages))] or [InputPartition(-1)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        if partition.value >= 0:
+            for row in self.pages[partition.value]:
+                yield (partition.value, str(row[0]), str(row[1]))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
