@@ -41,6 +41,7 @@ from .shared import (
     planes,
     prefix_hash,
     range_hash,
+    ranges,
     runs,
     stash,
     text_bytes,
@@ -130,7 +131,7 @@ def boundary(sizes: list[tuple[int, int]], list_length: float, percent: int) ->
     return best
 
 
-def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20, pivot_rounds: int = 3) -> DataFrame:
+def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20, pivot_rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id of every document; links at 100 * common >= percent * all."""
     total = text_bytes(docs)
     docs = documents_of(docs)
@@ -326,18 +327,17 @@ def _resolve(lists: DataFrame, percent: int, pivot_rounds: int) -> DataFrame:
         near_limit = 2 * percent - 100
         most = F.coalesce("common", F.least("na", "nb"))  # unknown: as much as sizes allow
         at = at.withColumn("near", ~F.col("linked") & (100 * most >= near_limit * (F.col("na") + F.col("nb") - most)))
-        # the pivot's partners are in its component; so may be what is near it, by other lists
-        near = _apart(at.where("near"), comp, ["sig", "a", "b", "nb"]).select("sig", F.col("b").alias("y"), F.col("nb").alias("ny"))
-        partner = at.where("linked").select("sig", F.col("b").alias("x"), F.col("nb").alias("nx"))
-        cross = (
-            near.join(partner, "sig")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb"))
-            .where(fits)
-        )
-        extra = checked(cross.distinct())
-        links = links.unionByName(extra.where(link).select("a", "b"))
+        # the pivot's partners are in its component; what is near it and in another one is held
+        # against all of that component, in blocks
+        near = (
+            at.where("near").select(F.col("b").alias("doc_id"), "a").distinct()
+            .join(comp.select(F.col("node").alias("a"), F.col("component").alias("c")), "a")
+            .join(comp.select(F.col("node").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
+            .where("own IS NULL OR own <> c").select("c", "doc_id").distinct()
+        )
+        extra = _near_links(stash(near, "near"), comp, bodies, percent)
+        links = links.unionByName(extra)
         rest = at.where("NOT linked").select("sig", F.col("b").alias("doc_id"), F.col("nb").alias("n"))
-        comp = components(links, "classes")
         rest = rest.join(comp.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
             "sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
         )
@@ -345,7 +345,7 @@ def _resolve(lists: DataFrame, percent: int, pivot_rounds: int) -> DataFrame:
         open_lists = rest.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("sig")
         entries = stash(rest.join(open_lists, "sig"), "rest")
         if entries.isEmpty():
-            return comp
+            return comp if extra.isEmpty() else components(links, "classes")
     x = entries.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
     y = entries.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
     pairs = x.join(y, "sig").where("a < b AND ca <> cb").where(fits).select("a", "b", "na", "nb").distinct()
@@ -353,15 +353,38 @@ def _resolve(lists: DataFrame, percent: int, pivot_rounds: int) -> DataFrame:
     return components(links.unionByName(last.where(link).select("a", "b")), "classes")
 
 
-def _apart(pairs: DataFrame, comp: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairs (a, b, ...) whose ends are not in one component yet."""
-    left = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return (
-        pairs.join(left, "a", "left")
-        .join(right, "b", "left")
-        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        .select(*columns)
-    )
-
-
+def _near_links(near: DataFrame, comp: DataFrame, bodies: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """Links (a, b) between the documents near a component (c, doc_id) and its members. Both are
+    dealt into blocks; a task has one block of each and returns the links only."""
+    members = comp.select(F.col("component").alias("c"), F.col("node").alias("doc_id")).join(near.select("c").distinct(), "c", "left_semi")
+
+    def shares(x: DataFrame, name: str) -> DataFrame:
+        return x.groupBy("c").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+
+    counts = shares(near, "sn").join(shares(members, "sm"), "c")
+    deal = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    left = near.join(counts, "c").select("c", "doc_id", F.lit(True).alias("near"), deal("sn").alias("i"), F.explode(F.sequence(F.lit(0), F.col("sm") - 1)).alias("j"))
+    right = members.join(counts, "c").select("c", "doc_id", F.lit(False).alias("near"), F.explode(F.sequence(F.lit(0), F.col("sn") - 1)).alias("i"), deal("sm").alias("j"))
+
+    def run(t: pa.Table) -> pa.Table:
+        side = np.array(t["near"].to_pylist())
+        ids = t["doc_id"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in t["body"].to_pylist()]
+        size = np.array([len(x) for x in sets])
+        a, b = np.flatnonzero(side), np.flatnonzero(~side)
+        out_a, out_b = [], []
+        if len(a) and len(b):
+            token = np.concatenate([sets[i] for i in a])
+            owner = np.repeat(np.arange(len(a)), size[a])
+            order = np.argsort(token, kind="stable")
+            token, owner = token[order], owner[order]
+            for k in b.tolist():
+                lo, hi = np.searchsorted(token, sets[k], "left"), np.searchsorted(token, sets[k], "right")
+                common = np.bincount(owner[ranges(lo, hi - lo)], minlength=len(a))
+                hit = np.flatnonzero(100 * common >= percent * (size[a] + size[k] - common))
+                out_a += ids[a[hit]].tolist()
+                out_b += [int(ids[k])] * len(hit)
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    both = left.unionByName(right).join(bodies, "doc_id")
+    return stash(both.groupBy("c", "i", "j").applyInArrow(run, "a long, b long"), "near_links")

@@ -287,7 +287,8 @@ def components(edges: DataFrame, label: str = "components", max_rounds: int = 60
         discard(e)
         e = nxt
         now = (row["n"], row["d"], row["h"])
-        if now == before:
+        # done: nothing changes, or each node has one parent and no parent has one
+        if now == before or row["n"] == row["d"] and e.join(e.select(F.col("a").alias("c")), F.col("b") == F.col("c"), "left_semi").isEmpty():
             break
         before = now
     else:
