@@ -40,6 +40,8 @@ def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bind(spark: SparkSession, select: str, frames: dict[str, DataFrame]) -> DataFrame:
     """Runs a SELECT in which the names of frames stand for these frames. They are common table
     expressions over views of this call, so that sessions and directories do not meet."""
+    if not frames:
+        return spark.sql(select)
     marked = ", ".join(f"{n} AS (SELECT * FROM {{{n}}})" for n in frames)
     body = select.strip().replace("{", "{{").replace("}", "}}")
     if body[:15].upper() == "WITH RECURSIVE ":
