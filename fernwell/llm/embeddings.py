@@ -47,6 +47,11 @@ def plan_tables(n: int, threshold: float, recall: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - same**bits))
 
 
+def rotation_count(dim: int, width: int, tables: int, checked: int) -> int:
+    """Rotations whose signs fill all keys, and the estimate's at least."""
+    return max(checked, -(-width * tables // dim))
+
+
 def encode(x: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes (rows of 0/1) and correction factors (rows x count) of unit vectors."""
     n, dim = x.shape
@@ -94,8 +99,8 @@ def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Buckets:
     """Rows of whole buckets, in order: pairs within each, tested in chunks."""
 
-    def __init__(self, width: int, tables: int, count: int, threshold: float, checked: int) -> None:
-        self.width, self.tables, self.count, self.threshold, self.checked = width, tables, count, threshold, checked
+    def __init__(self, width: int, tables: int, threshold: float, checked: int) -> None:
+        self.width, self.tables, self.threshold, self.checked = width, tables, threshold, checked
 
     def run(self, t: pa.Table) -> pa.RecordBatch | None:
         g = t["g"].to_numpy()
@@ -120,9 +125,10 @@ class _Buckets:
             fac = np.frombuffer(b"".join(t["factor"].take(own).to_pylist()), np.float32).reshape(len(own), -1)
             local = np.full(n, -1)
             local[own] = np.arange(len(own))
-            bits = np.unpackbits(code, axis=1)[:, : dim * self.count]
+            count = rotation_count(dim, self.width, self.tables, self.checked)
+            bits = np.unpackbits(code, axis=1)[:, : dim * count]
             keys = table_keys(bits, self.width, self.tables)
-            packed = np.packbits(bits.reshape(len(own), self.count, dim)[:, : self.checked], axis=2)
+            packed = np.packbits(bits.reshape(len(own), count, dim)[:, : self.checked], axis=2)
             # partners of row r: the rows after it in its bucket
             after = np.repeat(first + size, size) - np.arange(n) - 1
             chunk = 150_000
@@ -193,7 +199,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
                     x = np.array(b["v"].take(own).to_pylist(), np.float64)
                     x = x / np.abs(x).max(1, keepdims=True)  # no overflow in the norm
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    bits, factor = encode(x, max(checked, -(-width * tables // dim)))
+                    bits, factor = encode(x, rotation_count(dim, width, tables, checked))
                     keys = table_keys(bits, width, tables)
                     pick = np.repeat(np.arange(len(own)), tables)
                     column = lambda a: pa.array([r.tobytes() for r in a], pa.binary()).take(pa.array(pick))
@@ -219,8 +225,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
         .withColumn("g", F.xxhash64("t", "key", "bi", "bj"))
         .select("g", "t", "vec_id", "size", "blk", "bi", "bj", "code", "factor", "vec")
     )
-    count = lambda dim: max(checked, -(-width * tables // dim))
-
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for b in it:
@@ -241,8 +245,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
                 yield out
 
     def _run(t: pa.Table) -> pa.RecordBatch | None:
-        dim = len(t["vec"][0].as_py()) // 8
-        return _Buckets(width, tables, count(dim), threshold, checked).run(t.combine_chunks())
+        return _Buckets(width, tables, threshold, checked).run(t.combine_chunks())
 
     found = stash(
         dealt.repartition(F.col("g")).sortWithinPartitions("g", "vec_id").mapInArrow(search, "vec_id long, n long, to long"), "links"
