@@ -117,6 +117,7 @@ class Items:
         self.flat, self.at = flat, at
         self.item, self.start, self.end = windows(at, width, stride)
         self.space = np.zeros((len(self.vocabulary), 0), np.float32)
+        self.weighted = self.space
         self.passages = np.zeros((0, 0), np.float32)
 
     def columns(self, h: np.ndarray) -> np.ndarray:
@@ -210,6 +211,7 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = 16, stride: int = 8
         items = Items([r for r in rows if len(_hash_words(r[1]))], idf, width, item_stride)
         items.space = latent_space(bench, items, rank)
         p = np.concatenate([items.matrix(np.arange(k, min(k + 512, len(items.item)))) @ items.space for k in range(0, len(items.item), 512)] or [np.zeros((0, 0), np.float32)])
+        items.weighted = items.space * items.weight[:, None]
         items.passages = p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-9)
         part = texts.mapInArrow(_search(items, idf, width, stride, limit, least_common, least_answer), schema)
         out = part if out is None else out.unionByName(part)
@@ -237,11 +239,17 @@ def _search(items: Items, idf: np.ndarray, width: int, stride: int, limit: float
             row = np.repeat(np.arange(len(g)), n)
             has = col[idx] >= 0
             row, c = row[has], col[idx][has]
-            z = np.zeros((len(g), items.space.shape[1]), np.float32)
-            first = runs(row)
-            if not len(first):
+            if not len(row):
                 continue
-            z[row[first]] = np.add.reduceat(items.space[c] * items.weight[c][:, None], first, 0)
+            # the windows' first known words are added, then their second ones, and so on
+            first = runs(row)
+            nth = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+            order = np.argsort(nth, kind="stable")
+            cuts = np.append(runs(nth[order]), len(order)).tolist()
+            z = np.zeros((len(g), items.space.shape[1]), np.float32)
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                pick = order[i:j]
+                z[row[pick]] += items.weighted[c[pick]]
             # a repeated word weighs by its square in the window's true length
             key = row.astype(np.int64) * len(items.vocabulary) + c
             u, m = np.unique(key, return_counts=True)
