@@ -64,11 +64,19 @@ def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int =
         hit = pairs[at] == key
         rank = np.full(len(seq) + 1, -1, np.int32)  # high: frequent
         rank[open_[hit]] = len(pairs) - at[hit].astype(np.int32)
-        # keep places that outrank the place before and are not outranked by the next
+        # a place is kept where it outranks its neighbours; in a stretch of one rank (a run of one
+        # symbol) every other place is
         here = rank[:-1]
-        keep = (here > 0) & (here >= rank[1:])
-        keep[1:] &= here[1:] > here[:-1]
-        # ... and, in runs of one pair, every other place
+        first = runs(here)
+        size = np.diff(np.append(first, len(here)))
+        which = np.repeat(np.arange(len(first)), size)
+        inside = np.arange(len(here)) - first[which]
+        value = here[first]
+        before = np.concatenate(([-1], value[:-1]))
+        after = np.concatenate((value[1:], [-1]))
+        keep = (here > 0) & (inside % 2 == 0)
+        keep &= (inside > 0) | (value > before)[which]
+        keep &= (inside < size[which] - 1) | (value > after)[which]
         where = np.flatnonzero(keep)
         used, number = np.unique(len(pairs) - here[where], return_inverse=True)
         base = vocabulary + sum(map(len, rules))

@@ -85,7 +85,7 @@ class Packer:
 
     def __init__(self, ends: np.ndarray, capacity: int, sentence: int, inside: int, step: int, windows: int) -> None:
         self.ends, self.capacity, self.sentence, self.inside, self.step = ends, capacity, sentence, inside, step
-        self.limit = windows * capacity
+        self.limit = max(windows, 16) * capacity
         self.ids = np.zeros(0, np.uint16)
         self.docs: list[tuple[int | None, int, int]] = []  # id, all its tokens, tokens already out
         self.waiting: list[np.ndarray] = []
@@ -118,8 +118,8 @@ class Packer:
             pen[np.isin(places, doc_ends)] = 0
             cuts = places[cut_windows(places, pen, self.capacity)].tolist()
             if not final:
-                cuts = cuts[:-4]
-                target = cuts[-1]
+                cuts = cuts[:-4]  # the end of the buffer bears on the last few
+                target = cuts[-1] if cuts else 0
             else:
                 start = cuts[-2] if len(cuts) > 1 else 0
                 tail = powers_of_two(whole - start, 64, self.capacity) if whole - start < self.capacity else [whole - start]

@@ -136,6 +136,8 @@ def _encode_slice(path: str, off: np.ndarray, data: np.ndarray) -> tuple[np.ndar
     nxt = data[1:]
     # the next byte is visible: not white space, a control byte, or the start of a rare space
     seen = (nxt > 32) & (nxt != 127) & (nxt != 0xC2) & ((nxt < 0xE1) | (nxt > 0xE3))
+    edge = off[1:-1] - 1
+    seen[edge[(edge >= 0) & (edge < len(seen))]] = False  # the next byte is another document's
     cuts = np.flatnonzero(ws[:-1] & seen)
     starts = off[:-1][np.diff(off) > 0]
     bounds = np.unique(np.concatenate((cuts, starts, [len(data)])))
