@@ -232,8 +232,8 @@ def _search(items: Items, idf: np.ndarray, width: int, stride: int, limit: float
         size2, known2 = whole[e] - whole[s], known[e] - known[s]
         go = np.flatnonzero(known2 >= limit * limit * size2 * (1 - 1e-9))
         found = []
-        for k in range(0, len(go), 4000):
-            g = go[k : k + 4000]
+        for k in range(0, len(go), 1000):
+            g = go[k : k + 1000]
             n = e[g] - s[g]
             idx = ranges(s[g], n)
             row = np.repeat(np.arange(len(g)), n)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import block_count, ranges, runs, shared_dir, text_bytes
+from .shared import block_count, bounded_batches, ranges, runs, shared_dir, text_bytes
 from .tokens import encode_texts
 
 _MAGIC, _SYMBOLS = b"FWRP", 1 << 16
@@ -159,7 +159,7 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, sha
     from tokenizers import Tokenizer
 
     size = vocabulary or Tokenizer.from_file(tokenizer).get_vocab_size()
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    slim = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = block_count(text_bytes(docs), part_bytes)
     ordered = slim.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
 

@@ -131,7 +131,7 @@ def boundary(sizes: list[tuple[int, int]], list_length: float, percent: int) ->
     return best
 
 
-def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20, pivot_rounds: int = 2) -> DataFrame:
+def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = 2 << 20, bucket_bytes: int = 4 << 20, pivot_rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id of every document; links at 100 * common >= percent * all."""
     total = text_bytes(docs)
     docs = documents_of(docs)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ranges
+from .shared import bounded_batches, ranges
 from .tokens import encode_texts
 
 _END_MARKS = (".", "!", "?", "…", "。", "！", "？")
@@ -188,5 +188,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0,
         packer.pack(True)
         yield flush()
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    slim = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return slim.mapInArrow(run, ", ".join(f"{c} long" for c in _COLUMNS))

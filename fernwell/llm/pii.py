@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import BoostedTrees
+from .shared import bounded_batches
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -313,7 +314,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 {c: pa.array(v, pa.string() if c in ("base_sha256", "spans") else pa.int64()) for c, v in cols.items()}
             )
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    slim = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return slim.mapInArrow(
         run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
     )
@@ -334,7 +335,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
         return texts.map(one, na_action="ignore")
 
-    out = docs.withColumn("text", clean(F.col("text")))
+    out = bounded_batches(docs).withColumn("text", clean(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))

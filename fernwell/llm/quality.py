@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column_bytes, lower_ascii, prefix_hash, range_hash, runs, word_bounds
+from .shared import bounded_batches, column_bytes, lower_ascii, prefix_hash, range_hash, runs, word_bounds
 
 WORD_BITS, RANK, INTERVALS = 15, 8, 8
 N_STATS = 18
@@ -216,7 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 8000, target
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_train_rows)
     )
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    text = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -256,7 +256,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
             score = np.concatenate([np.zeros(0), *(fm.predict(s, i, a) for _, _, s, i, a in extract_column(b["text"]))])
             yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "score": pa.array(score)})
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    slim = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     return slim.mapInArrow(run, "doc_id long, score double").select(
         "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
@@ -273,4 +273,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_tr
         col = pa.array(texts.fillna(""), pa.large_string())
         return pd.Series(np.concatenate([np.zeros(0), *(fm.predict(s, i, a) for _, _, s, i, a in extract_column(col))]))
 
-    return docs.where(score(F.col("text").cast("string")) >= threshold)
+    return bounded_batches(docs).where(score(F.col("text").cast("string")) >= threshold)

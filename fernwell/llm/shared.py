@@ -68,10 +68,23 @@ def discard(*frames: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Rows that go to a Python worker at once: texts are long, and workers share the executor's memory.
+ARROW_ROWS = 2000
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Bounds the batches that the session sends to Python workers; returns df."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    now = int(conf.get(key, "10000"))
+    if now <= 0 or now > ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return df
+
+
 def documents_of(docs: DataFrame) -> DataFrame:
     """doc_id (long) and text as UTF-8 bytes; null text counts as empty. Other columns are left
     out, so that extra columns with any names do no harm."""
-    return docs.select(
+    return bounded_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
     )
