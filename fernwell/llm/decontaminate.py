@@ -9,6 +9,10 @@
    it. By Cauchy-Schwarz a window cannot reach the limit where the weights of its words that the
    benchmark has at all are too small; only the other windows are projected. That drops no window
    that could be a candidate.
+   Passages that keep less than `least_kept` of their length in the latent space (its rank is
+   bounded, the number of passages is not) are searched by their exact TF-IDF cosine as well. Their
+   heaviest words are looked up, as many as leave the others without the limit by Cauchy-Schwarz;
+   each place of such a word gives the window that aligns it with the passage.
 4. Candidates are checked on the words: the longest common subsequence of item and surrounding
    text must cover `least_common` of the item, and `least_answer` of its answer (its last sentence;
    with one sentence, its last quarter). Changed, added or dropped words lower the share only.
@@ -98,6 +102,71 @@ def windows(at: np.ndarray, width: int, stride: int) -> tuple[np.ndarray, np.nda
     return doc, start, np.minimum(start + width, at[doc + 1])
 
 
+class Exact:
+    """Word sequences searched by their exact TF-IDF cosine: rows [start, end) of items' words."""
+
+    def __init__(self, items: Items, item: np.ndarray, start: np.ndarray, end: np.ndarray, limit: float) -> None:
+        v = max(1, len(items.vocabulary))
+        self.item, self.size, self.limit, self.v = item, end - start, limit, v
+        idx = ranges(start, self.size)
+        row = np.repeat(np.arange(len(item)), self.size)
+        c = items.columns(items.flat[idx])
+        self.key, inverse, m = np.unique(row * v + c, return_inverse=True, return_counts=True)
+        own = self.key // v
+        x = m * items.weight[self.key % v].astype(np.float64)
+        self.value = x / np.sqrt(np.bincount(own, x * x, len(item)))[own]
+        # heaviest words first, until the rest of the sequence is shorter than the limit
+        order = np.lexsort((-self.value, own))
+        mass = np.cumsum(self.value[order] ** 2)
+        before = np.concatenate(([0.0], mass))[:-1]
+        first = runs(own[order])
+        before -= np.repeat(before[first], np.diff(np.append(first, len(order))))
+        anchor = np.zeros(len(self.key), bool)
+        anchor[order] = before <= 1 - limit * limit + 1e-6
+        use = np.flatnonzero(anchor[inverse])
+        use = use[np.argsort(c[use], kind="stable")]
+        self.row, self.place = row[use], (idx - start[row])[use]
+        self.posts = np.searchsorted(c[use], np.arange(v + 1))
+
+    def candidates(self, at: np.ndarray, col: np.ndarray, w2: np.ndarray, whole: np.ndarray, known: np.ndarray, most: int = 200_000) -> Iterator[tuple[np.ndarray, ...]]:
+        """(document, item, start, end, cosine) of the windows that a heavy word aligns."""
+        if not len(self.item):
+            return
+        where = np.flatnonzero(col >= 0)
+        count = self.posts[col[where] + 1] - self.posts[col[where]]
+        where, count = where[count > 0], count[count > 0]
+        total = np.cumsum(count)
+        i = 0
+        while i < len(where):
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + most, "right")))
+            n, pos = count[i:j], np.repeat(where[i:j], count[i:j])
+            post = ranges(self.posts[col[where[i:j]]], n)
+            i = j
+            doc, row = np.searchsorted(at, pos, "right") - 1, self.row[post]
+            s = np.maximum(np.minimum(pos - self.place[post], at[doc + 1] - self.size[row]), at[doc])
+            e = np.minimum(s + self.size[row], at[doc + 1])
+            go = known[e] - known[s] >= self.limit**2 * (whole[e] - whole[s]) * (1 - 1e-9)
+            u, k = np.unique(s[go] * len(self.item) + row[go], return_index=True)
+            if not len(u):
+                continue
+            doc, row, s, e = doc[go][k], row[go][k], s[go][k], e[go][k]
+            idx, pair = ranges(s, e - s), np.repeat(np.arange(len(s)), e - s)
+            has = col[idx] >= 0
+            idx, pair = idx[has], pair[has]
+            key = row[pair] * self.v + col[idx]
+            f = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            dot = np.bincount(pair, np.where(self.key[f] == key, self.value[f], 0) * np.sqrt(w2[idx]), len(s))
+            size2 = whole[e] - whole[s]
+            near = dot * dot >= self.limit**2 * size2 * (1 - 1e-9)
+            # a repeated word weighs by its square in the window's true length
+            mine = near[pair]
+            u, k, m = np.unique(pair[mine] * self.v + col[idx[mine]], return_index=True, return_counts=True)
+            size2 = size2 + np.bincount(u // self.v, (m * m - m) * w2[idx[mine][k]], len(s))
+            cos = dot / np.sqrt(np.maximum(size2, 1e-18))
+            near = np.flatnonzero(near & (cos >= self.limit))
+            yield doc[near], self.item[row[near]], s[near], e[near], cos[near].astype(np.float32)
+
+
 class Items:
     """A chunk of the benchmark: its words, vocabulary and passages."""
 
@@ -119,6 +188,7 @@ class Items:
         self.space = np.zeros((len(self.vocabulary), 0), np.float32)
         self.weighted = self.space
         self.passages = np.zeros((0, 0), np.float32)
+        self.exact: Exact | None = None
 
     def columns(self, h: np.ndarray) -> np.ndarray:
         """Place of each word in the vocabulary, -1 if it has none."""
@@ -196,7 +266,7 @@ def _bits(words: np.ndarray) -> dict[int, int]:
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, width: int = 16, stride: int = 8, item_stride: int = 4, rank: int = 512, limit: float = 0.5, least_common: float = 0.7, least_answer: float = 0.5, chunk_items: int = 2000) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, width: int = 16, stride: int = 8, item_stride: int = 4, rank: int = 512, limit: float = 0.5, least_common: float = 0.7, least_answer: float = 0.5, chunk_items: int = 2000, least_kept: float = 0.9) -> DataFrame:
     """doc_id, item_id, cosine (the highest), common and answer (shares of the item and of its
     answer that the document has in order): one row for each document and item that it holds."""
     texts = documents_of(docs)
@@ -212,7 +282,10 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = 16, stride: int = 8
         items.space = latent_space(bench, items, rank)
         p = np.concatenate([items.matrix(np.arange(k, min(k + 512, len(items.item)))) @ items.space for k in range(0, len(items.item), 512)] or [np.zeros((0, 0), np.float32)])
         items.weighted = items.space * items.weight[:, None]
-        items.passages = p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-9)
+        kept = np.linalg.norm(p, axis=1)
+        items.passages = p / np.maximum(kept[:, None], 1e-9)
+        low = kept < least_kept
+        items.exact = Exact(items, items.item[low], items.start[low], items.end[low], limit)
         part = texts.mapInArrow(_search(items, idf, width, stride, limit, least_common, least_answer), schema)
         out = part if out is None else out.unionByName(part)
     return out
@@ -231,7 +304,7 @@ def _search(items: Items, idf: np.ndarray, width: int, stride: int, limit: float
         known = np.concatenate(([0], np.cumsum(np.where(col >= 0, w2, 0))))
         size2, known2 = whole[e] - whole[s], known[e] - known[s]
         go = np.flatnonzero(known2 >= limit * limit * size2 * (1 - 1e-9))
-        found = []
+        found = list(items.exact.candidates(at, col, w2, whole, known))
         for k in range(0, len(go), 1000):
             g = go[k : k + 1000]
             n = e[g] - s[g]

@@ -177,6 +177,17 @@ def test_decontamination(spark):
     assert decontaminate.find(d, b.limit(0)).count() == 0 and decontaminate.find(d.limit(0), b).count() == 0
 
 
+def test_decontamination_beyond_the_rank(spark):
+    r = random.Random(10)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(4000)]
+    text = lambda n: " ".join(r.choice(vocab) for _ in range(n))
+    items = [(i, text(r.randrange(40, 60))) for i in range(200)]
+    docs = [(i, f"{text(r.randrange(60))} {t} {text(50)}") for i, t in items]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.find(d, b, rank=16).collect()}
+    assert got == {(i, i) for i, _ in items}
+
+
 def test_subsequence():
     r = random.Random(1)
     for _ in range(300):
