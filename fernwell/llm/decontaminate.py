@@ -13,9 +13,12 @@
    bounded, the number of passages is not) are searched by their exact TF-IDF cosine as well. Their
    heaviest words are looked up, as many as leave the others without the limit by Cauchy-Schwarz;
    each place of such a word gives the window that aligns it with the passage.
+   Items of up to two windows are searched whole in the same way, with windows of their own length
+   at any offset: the words around a short copy do not count against it.
 4. Candidates are checked on the words: the longest common subsequence of item and surrounding
    text must cover `least_common` of the item, and `least_answer` of its answer (its last sentence;
-   with one sentence, its last quarter). Changed, added or dropped words lower the share only.
+   with one sentence, its last quarter, one word at least). Changed, added or dropped words lower
+   the share only.
 
 The benchmark is taken in chunks of at most `chunk_items` items, which bounds what is broadcast
 (vocabulary x rank) whatever its size. Two passes over the texts, no shuffle of texts.
@@ -176,7 +179,7 @@ class Items:
         self.answers = []
         for (_, t), w in zip(rows, self.words, strict=True):
             parts = [p for p in (_hash_words(x) for x in _SENTENCE.split(t)) if len(p)]
-            self.answers.append(parts[-1] if len(parts) > 1 else w[-(-3 * len(w) // 4) :])
+            self.answers.append(parts[-1] if len(parts) > 1 else w[min(-(-3 * len(w) // 4), len(w) - 1) :])
         flat = np.concatenate(self.words or [np.zeros(0, np.uint64)])
         self.vocabulary = np.unique(flat)
         self.weight = idf[(self.vocabulary >> np.uint64(64 - _BINS)).astype(np.int64)]
@@ -284,8 +287,9 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = 16, stride: int = 8
         items.weighted = items.space * items.weight[:, None]
         kept = np.linalg.norm(p, axis=1)
         items.passages = p / np.maximum(kept[:, None], 1e-9)
-        low = kept < least_kept
-        items.exact = Exact(items, items.item[low], items.start[low], items.end[low], limit)
+        low, whole = kept < least_kept, np.flatnonzero(np.diff(items.at) <= 2 * width)
+        join = lambda a, b: np.concatenate((a, b))
+        items.exact = Exact(items, join(items.item[low], whole), join(items.start[low], items.at[whole]), join(items.end[low], items.at[whole + 1]), limit)
         part = texts.mapInArrow(_search(items, idf, width, stride, limit, least_common, least_answer), schema)
         out = part if out is None else out.unionByName(part)
     return out

@@ -188,6 +188,19 @@ def test_decontamination_beyond_the_rank(spark):
     assert got == {(i, i) for i, _ in items}
 
 
+def test_decontamination_of_short_items(spark):
+    r = random.Random(11)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(3000)]
+    often = vocab[:40]
+    text = lambda n, of: " ".join(r.choice(of) for _ in range(n))
+    items = [(n, text(n, often)) for n in (1, 2, 3, 4, 5, 6, 8, 10, 12, 16)]
+    docs = [(1000 * n + k, f"{text(k, vocab)} {t} {text(40, vocab)}") for n, t in items for k in range(32)]
+    docs += [(-i, text(60, often)) for i in range(1, 30)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.find(d, b).collect()}
+    assert got >= {(1000 * n + k, n) for n, _ in items for k in range(32)}
+
+
 def test_subsequence():
     r = random.Random(1)
     for _ in range(300):
