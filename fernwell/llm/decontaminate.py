@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column_bytes, documents_of, lower_ascii, prefix_hash, range_hash, ranges, runs
+from .shared import column_bytes, documents_of, lower_ascii, ranges, runs, word_hashes
 
 _BINS = 16
 _SLICE = 1 << 20
@@ -55,7 +55,7 @@ def words_of(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     inside = ((spaced >= 97) & (spaced <= 122)) | ((spaced >= 48) & (spaced <= 57)) | (spaced >= 128)
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     s, e = edge[0::2], edge[1::2]
-    return range_hash(prefix_hash(spaced), s, e), np.searchsorted(s, off + np.arange(n + 1))
+    return word_hashes(spaced, s, e), np.searchsorted(s, off + np.arange(n + 1))
 
 
 def slices(col: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -379,6 +379,7 @@ def _search(items: Items, idf: np.ndarray, width: int, stride: int, limit: float
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with their columns as they are. Rows without an
     id stay if no other row without an id holds one."""
-    held = find(docs, benchmark).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_held")).distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return docs.join(held, key == F.col("_held"), "left_anti")
+    held = find(docs, benchmark).select(F.struct(F.col("doc_id").alias("id")).alias("doc_id")).distinct()
+    # a struct, so that no id is like no id; the other columns go along under one name
+    rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("id")).alias("doc_id"), F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))
+    return rows.join(held, "doc_id", "left_anti").select("row.*")

@@ -1,23 +1,29 @@
 """Jaccard join of word-shingle sets, size-aware and heavy-light.
 
 Two documents link when the Jaccard similarity of their sets of distinct shingles reaches the
-threshold; the result is one row per document with the component of links it lies in. Exact.
+threshold; the result is one row per document with the component of links it lies in.
 
-1. Documents with equal sets form one class, by a digest of the set; only its smallest id goes on.
+1. Documents with equal sets form one class, by a digest of the set; one row of it goes on.
 2. Shingles are ordered by document frequency, rare ones first, so that what many unrelated
    documents share lies at the end of the order. The frequencies of all shingles are counted in
    buckets (see shared.py), at one entry a block.
 3. *Small sets* enumerate the two-element subsets of their prefix, *large sets* put their prefix
    into inverted lists; the boundary is where the subsets become dearer than the entries of the
    lists, whose mean length is measured. Sets just below the boundary do both.
-4. Lists are not expanded into pairs. Each list checks its members against one pivot; a member
-   that links to the pivot leaves the list with it. What is left are pairs of different components
-   that the triangle inequality of the Jaccard distance does not rule out. After some rounds of
-   this the rest, where documents share rare shingles without being alike, is compared in pairs.
+4. Lists are not expanded into pairs. In two rounds each list checks its members against one pivot;
+   lists whose members are in one component by then are done. Members of the others are compared
+   in blocks of bounded size: a task holds two blocks, compares what lies in different components,
+   and returns a spanning forest of the links it finds, so that rows out are at most rows in.
+   Lists that overlap much are compared as one group, where that costs less than one by one.
+
+A shingle that only one document has cannot be shared; what is left of a set bounds its overlap,
+and pairs that this bound rules out are never compared. Shingles are 64-bit hashes: two different
+ones among n agree with a chance of about n^2 / 2^65; else the result is exact.
 
 Cases: null text or no words: an empty set, linked with nothing; fewer words than a shingle has:
-the whole sequence is the one shingle; equal rows share a class; an empty table gives no rows;
-extra columns are ignored.
+the whole sequence is the one shingle; equal rows share a class; rows without an id, or with one id
+and several texts, take part row by row; a very long text is one set in one block; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,19 +40,20 @@ from .shared import (
     column_bytes,
     components,
     cut_by_bucket,
+    discard,
     documents_of,
     in_blocks,
     lower_ascii,
     mix,
     planes,
-    prefix_hash,
-    range_hash,
     ranges,
     runs,
     stash,
     text_bytes,
     unplanes,
+    with_text_hash,
     word_bounds,
+    word_hashes,
 )
 
 #: One shingle of so many is taken for the measured length of lists.
@@ -79,7 +86,7 @@ def _sets_of_slice(off: np.ndarray, data: np.ndarray, words: int) -> list[np.nda
     else:
         return [np.zeros(0, np.uint64) for _ in range(n_docs)]
     s, e = word_bounds(spaced)
-    h = range_hash(prefix_hash(spaced), s, e)
+    h = word_hashes(spaced, s, e)
     first = np.searchsorted(s, starts)
     counts = np.diff(np.append(first, len(s)))
     if len(h) >= words:
@@ -131,10 +138,21 @@ def boundary(sizes: list[tuple[int, int]], list_length: float, percent: int) ->
     return best
 
 
-def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = 2 << 20, bucket_bytes: int = 4 << 20, pivot_rounds: int = 2) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document; links at 100 * common >= percent * all."""
+#: Ids of rows without one sort behind all others.
+_NO_ID = (1 << 63) - 1
+
+
+def link_components(docs: DataFrame, **how) -> DataFrame:  # noqa: ANN003
+    """doc_id, n_shingles, component_id of every document; options as of linked_rows()."""
+    return linked_rows(docs, **how).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_rows(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = 2 << 20, bucket_bytes: int = 4 << 20, block_tokens: int = 1 << 17, pivot_rounds: int = 2) -> DataFrame:
+    """doc_id, th (xxhash64 of the text), n_shingles, component_id of every document, and first:
+    whether the row has the smallest (doc_id, th) of its component, as all equal rows then have.
+    Links at 100 * common >= percent * all."""
     total = text_bytes(docs)
-    docs = documents_of(docs)
+    docs = with_text_hash(documents_of(docs))
 
     def describe(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in it:
@@ -145,6 +163,7 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_by
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": b["doc_id"],
+                        "th": b["th"],
                         "n": pa.array([len(s) for s in sets], pa.int64()),
                         "d1": pa.array([x[0] for x in dg], pa.int64()),
                         "d2": pa.array([x[1] for x in dg], pa.int64()),
@@ -152,10 +171,11 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_by
                     }
                 )
 
-    seen = stash(docs.mapInArrow(describe, "doc_id long, n long, d1 long, d2 long, some array<long>"), "sets")
+    seen = stash(docs.mapInArrow(describe, "doc_id long, th long, n long, d1 long, d2 long, some array<long>"), "sets")
+    row_key = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), "th")
     # written, so that the join below deals its rows by itself and a hot class can be split there
-    classes = stash(seen.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "reps")
-    reps = classes.select(F.col("rep").alias("doc_id"), "d1", "n")
+    classes = stash(seen.where("n > 0").groupBy("d1", "d2", "n").agg(F.min(row_key).alias("rep")), "reps")
+    reps = classes.select(F.nullif("rep.doc_id", F.lit(_NO_ID)).alias("doc_id"), "rep.th", "d1", "n")
     # sizes fall into steps of an eighth, so that what is gathered does not grow with the table
     step = F.floor(F.log2("n") * 8)
     sizes = [(int(r["m"]), int(r["c"])) for r in reps.where("n > 1").groupBy(step.alias("k")).agg(F.max("n").alias("m"), F.count("*").alias("c")).collect()]
@@ -164,29 +184,35 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80, block_by
     cut = boundary(sizes, (row["b"] or 1.0) / (row["a"] or 1.0), percent)
 
     lists = _signatures(docs, reps, total, words, percent, cut, block_bytes, bucket_bytes)
-    links = _resolve(lists, percent, pivot_rounds)
-    out = seen.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2").join(
-        classes.select("d1", "d2", F.col("n").alias("n_shingles"), "rep"), ["d1", "d2", "n_shingles"], "left"
-    )
-    out = out.join(links.withColumnRenamed("node", "rep"), "rep", "left")
+    linked = _resolve(lists, percent, pivot_rounds, block_tokens)
+    discard(lists)
+    # the first row of each component, for the classes that have links
+    tied = classes.join(linked.withColumnRenamed("node", "d1"), "d1")
+    first = stash(tied.join(tied.groupBy("component").agg(F.min("rep").alias("first")), "component").select("d1", "d2", "n", "first"), "first")
+    discard(linked)
+    known = classes.join(first, ["d1", "d2", "n"], "left").select("d1", "d2", "n", F.coalesce("first", "rep").alias("first"))
+    out = seen.select("doc_id", "th", "n", "d1", "d2").join(known, ["d1", "d2", "n"], "left")
+    lead = F.coalesce("first", row_key)
     return out.select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")
-    )
+        "doc_id", "th", F.col("n").alias("n_shingles"), F.nullif(lead["doc_id"], F.lit(_NO_ID)).alias("component_id"),
+        (lead == row_key).alias("first"),
+    )
 
 
 def _signatures(docs, reps, total, words, percent, cut, block_bytes, bucket_bytes) -> DataFrame:  # noqa: ANN001
-    """(sig, doc_id, n, body): list entries, and one row with sig null and the set for each
-    document that is in a list."""
-    d = in_blocks(docs, block_count(total, block_bytes))
+    """(sig, v, n, u, body): list entries of the classes v with n shingles, u of which others may
+    share, and one row with sig null and the set for each class that is in a list."""
+    n_blocks = block_count(total, block_bytes)
+    d = in_blocks(docs, n_blocks)
     n_buckets = block_count(total * 4 // 6, bucket_bytes)  # four bytes a word of about six
 
-    def distinct_sets(t: pa.Table) -> tuple[list[int], list[np.ndarray], list[int]]:
-        t = t.sort_by("doc_id")
+    def distinct_sets(t: pa.Table) -> tuple[list[tuple], list[np.ndarray], list[int]]:
+        t = t.sort_by([("doc_id", "ascending"), ("th", "ascending")])
         sets = shingle_sets(*column_bytes(t["text"]), words)
-        ids, dg = t["doc_id"].to_pylist(), [digest(s) for s in sets]
+        rows, dg = list(zip(t["doc_id"].to_pylist(), t["th"].to_pylist(), strict=True)), [digest(s) for s in sets]
         new = {x: i for i, x in reversed(list(enumerate(dg)))}
         keep = [i for i in sorted(new.values()) if len(sets[i])]
-        return [ids[i] for i in keep], [sets[i] for i in keep], [dg[i][0] for i in keep]
+        return [rows[i] for i in keep], [sets[i] for i in keep], [dg[i][0] for i in keep]
 
     def keys_of(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         both = np.sort(np.concatenate([s >> np.uint64(32) for s in sets] or [np.zeros(0, np.uint64)]))
@@ -229,15 +255,15 @@ def _signatures(docs, reps, total, words, percent, cut, block_bytes, bucket_byte
         )
 
     def emit(t: pa.Table, a: pa.Table) -> pa.Table:
-        sigs, docs_, ns, bodies = [], [], [], []
+        sigs, vs, ns, us, bodies = [], [], [], [], []
         if t.num_rows:
-            ids, sets, d1 = distinct_sets(t)
-            lead = {(i, x) for i, x in zip(a["doc_id"].to_pylist(), a["d1"].to_pylist(), strict=True) if x is not None}
+            rows, sets, d1 = distinct_sets(t)
+            lead = {(i, h, x) for i, h, x in zip(a["doc_id"].to_pylist(), a["th"].to_pylist(), a["d1"].to_pylist(), strict=True) if x is not None}
             answers = sorted((b, p) for b, p in zip(a["bucket"].to_pylist(), a["payload"].to_pylist(), strict=True) if p is not None)
             keys, _ = keys_of(sets)
             levels = np.frombuffer(b"".join(p for _, p in answers), np.uint8)
-            for i, s, x in zip(ids, sets, d1, strict=True):
-                if (i, x) not in lead or len(s) < 2:
+            for row, s, x in zip(rows, sets, d1, strict=True):
+                if (*row, x) not in lead or len(s) < 2:
                     continue
                 n = len(s)
                 level = levels[np.searchsorted(keys, s >> np.uint64(32))]
@@ -254,29 +280,29 @@ def _signatures(docs, reps, total, words, percent, cut, block_bytes, bucket_byte
                     own.append(s[order][level[order] > 0])
                 own = np.concatenate(own) if own else np.zeros(0, np.uint64)
                 if len(own):
-                    sigs.append(pa.array(np.append(own.view(np.int64), 0), mask=np.arange(len(own) + 1) == len(own)))
-                    docs_.append(np.full(len(own) + 1, i, np.int64))
-                    ns.append(np.full(len(own) + 1, n, np.int64))
-                    bodies += [None] * len(own) + [s.tobytes()]
+                    m = len(own) + 1
+                    sigs.append(pa.array(np.append(own.view(np.int64), 0), mask=np.arange(m) == m - 1))
+                    vs.append(np.full(m, x, np.int64))
+                    ns.append(np.full(m, n, np.int64))
+                    us.append(np.full(m, np.count_nonzero(level), np.int64))
+                    bodies += [None] * (m - 1) + [s.tobytes()]
+        whole = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
         return pa.table(
             {
                 "sig": pa.concat_arrays(sigs) if sigs else pa.array([], pa.int64()),
-                "doc_id": np.concatenate(docs_) if docs_ else np.zeros(0, np.int64),
-                "n": np.concatenate(ns) if ns else np.zeros(0, np.int64),
-                "body": pa.array(bodies, pa.binary()),
+                "v": whole(vs), "n": whole(ns), "u": whole(us), "body": pa.array(bodies, pa.binary()),
             }
-        )
+        )
 
     by_block = d.groupBy("block")
     asked = by_block.applyInArrow(ask, "block int, bucket int, payload binary")
     answered = asked.groupBy("bucket").applyInArrow(count, "block int, bucket int, payload binary")
-    right = answered.select("block", "bucket", "payload", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("d1")).unionByName(
-        in_blocks(reps.select("doc_id", "d1"), block_count(total, block_bytes)).select(
-            "block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("payload"), "doc_id", "d1"
-        )
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    right = answered.select("block", "bucket", "payload", none("long", "doc_id"), none("long", "th"), none("long", "d1")).unionByName(
+        in_blocks(reps, n_blocks).select("block", none("int", "bucket"), none("binary", "payload"), "doc_id", "th", "d1")
     )
     return stash(
-        by_block.cogroup(right.groupBy("block")).applyInArrow(emit, "sig long, doc_id long, n long, body binary"), "lists"
+        by_block.cogroup(right.groupBy("block")).applyInArrow(emit, "sig long, v long, n long, u long, body binary"), "lists"
     )
 
 
@@ -293,98 +319,126 @@ def _common(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": b["a"], "b": b["b"], "na": b["na"], "nb": b["nb"], "common": pa.array(n, pa.int64())})
 
 
-def _resolve(lists: DataFrame, percent: int, pivot_rounds: int) -> DataFrame:
-    """(node, component) of the links between the documents of the lists."""
-    bodies = lists.where("sig IS NULL").select("doc_id", "body")
-    entries = lists.where("sig IS NOT NULL").select("sig", "doc_id", "n")
-    fits = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
+def _resolve(lists: DataFrame, percent: int, pivot_rounds: int, block_tokens: int) -> DataFrame:
+    """(node, component) of the links between the classes of the lists."""
+    bodies = lists.where("sig IS NULL").select("v", "body")
+    entries = lists.where("sig IS NOT NULL").select("sig", "v", "n", "u", F.col("v").alias("c"))
+    # overlaps are at most what both sets can share
+    fits = f"100 * least(ua, ub) >= {percent} * (na + nb - least(ua, ub))"
     link = f"100 * common >= {percent} * (na + nb - common)"
+    comp: DataFrame | None = None
+    for k in range(pivot_rounds):
+        # open lists: their members are in more than one component. The pivot is of the component
+        # that most of them are in, and of these the one with the fewest shingles of its own
+        best = F.struct((F.col("u") - F.col("n")).alias("d"), "v", "n", "u", "c")
+        if k:
+            per = entries.groupBy("sig", "c").agg(F.count("*").alias("m"), F.max(best).alias("p"))
+            heads = per.groupBy("sig").agg(F.max(F.struct("m", "p")).alias("q"), F.min("c").alias("x"), F.max("c").alias("y")).withColumn("p", F.col("q.p"))
+        else:
+            heads = entries.groupBy("sig").agg(F.max(best).alias("p"), F.min("c").alias("x"), F.max("c").alias("y"))
+        heads = heads.where("x < y").select("sig", F.col("p.c").alias("pc"), F.col("p.v").alias("a"), F.col("p.n").alias("na"), F.col("p.u").alias("ua"))
+        member = entries.select("sig", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub"), "c").join(heads, "sig").where("c <> pc")
+        pairs = member.where(fits).select("a", "b", "na", "nb").distinct()
+        left = bodies.select(F.col("v").alias("a"), F.col("body").alias("body_a"))
+        right = bodies.select(F.col("v").alias("b"), F.col("body").alias("body_b"))
+        done = pairs.join(left, "a").join(right, "b").mapInArrow(_common, "a long, b long, na long, nb long, common long")
+        found = stash(done.where(link).select("a", "b"), "pairs")
+        before, comp = comp, components(_with(found, comp), "classes")
+        entries = _open_entries(lists, comp)
+        discard(found, *([before] if before is not None else []))
+    extra = _block_links(entries, bodies, percent, block_tokens)
+    if extra is None:
+        return comp
+    out = components(_with(extra, comp), "classes")
+    discard(extra, comp)
+    return out
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        """Common shingles of distinct pairs (a, b, na, nb)."""
-        left = bodies.select(F.col("doc_id").alias("a"), F.col("body").alias("body_a"))
-        right = bodies.select(F.col("doc_id").alias("b"), F.col("body").alias("body_b"))
-        return stash(
-            pairs.join(left, "a").join(right, "b").mapInArrow(_common, "a long, b long, na long, nb long, common long"), "pairs"
-        )
 
-    links: DataFrame | None = None
-    comp: DataFrame | None = None
-    for _ in range(pivot_rounds):
-        pivots = entries.groupBy("sig").agg(F.min(F.struct("doc_id", "n")).alias("p")).select(
-            "sig", F.col("p.doc_id").alias("a"), F.col("p.n").alias("na")
-        )
-        member = entries.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("nb")).join(pivots, "sig").where("a <> b")
-        done = checked(member.where(fits).select("a", "b", "na", "nb").distinct())
-        new = done.where(link).select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        comp = components(links, "classes")
-        # a member outside its pivot's component, with what is known of its distance to the pivot
-        at = member.join(done.select("a", "b", "common"), ["a", "b"], "left").withColumn(
-            "linked", F.coalesce(F.expr(link), F.lit(False))
-        )
-        # alike enough that the pivot's partners may link to it: J >= 2 * threshold - 1
-        near_limit = 2 * percent - 100
-        most = F.coalesce("common", F.least("na", "nb"))  # unknown: as much as sizes allow
-        at = at.withColumn("near", ~F.col("linked") & (100 * most >= near_limit * (F.col("na") + F.col("nb") - most)))
-        # the pivot's partners are in its component; what is near it and in another one is held
-        # against all of that component, in blocks
-        near = (
-            at.where("near").select(F.col("b").alias("doc_id"), "a").distinct()
-            .join(comp.select(F.col("node").alias("a"), F.col("component").alias("c")), "a")
-            .join(comp.select(F.col("node").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
-            .where("own IS NULL OR own <> c").select("c", "doc_id").distinct()
-        )
-        extra = _near_links(stash(near, "near"), comp, bodies, percent)
-        links = links.unionByName(extra)
-        rest = at.where("NOT linked").select("sig", F.col("b").alias("doc_id"), F.col("nb").alias("n"))
-        rest = rest.join(comp.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
-            "sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
-        )
-        # lists whose members are in one component by now are done
-        open_lists = rest.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("sig")
-        entries = stash(rest.join(open_lists, "sig"), "rest")
-        if entries.isEmpty():
-            return comp if extra.isEmpty() else components(links, "classes")
-    x = entries.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    y = entries.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    pairs = x.join(y, "sig").where("a < b AND ca <> cb").where(fits).select("a", "b", "na", "nb").distinct()
-    last = checked(pairs)
-    return components(links.unionByName(last.where(link).select("a", "b")), "classes")
-
-
-def _near_links(near: DataFrame, comp: DataFrame, bodies: DataFrame, percent: int, block: int = 256) -> DataFrame:
-    """Links (a, b) between the documents near a component (c, doc_id) and its members. Both are
-    dealt into blocks; a task has one block of each and returns the links only."""
-    members = comp.select(F.col("component").alias("c"), F.col("node").alias("doc_id")).join(near.select("c").distinct(), "c", "left_semi")
-
-    def shares(x: DataFrame, name: str) -> DataFrame:
-        return x.groupBy("c").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-
-    counts = shares(near, "sn").join(shares(members, "sm"), "c")
-    deal = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
-    left = near.join(counts, "c").select("c", "doc_id", F.lit(True).alias("near"), deal("sn").alias("i"), F.explode(F.sequence(F.lit(0), F.col("sm") - 1)).alias("j"))
-    right = members.join(counts, "c").select("c", "doc_id", F.lit(False).alias("near"), F.explode(F.sequence(F.lit(0), F.col("sn") - 1)).alias("i"), deal("sm").alias("j"))
+def _with(found: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """New links and, in place of the earlier ones, an edge from each node to its component."""
+    return found if comp is None else found.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
+
+
+def _open_entries(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    """Entries of the lists whose members are in more than one component c."""
+    all_ = lists.where("sig IS NOT NULL").select("sig", "v", "n", "u").join(comp.withColumnRenamed("node", "v"), "v", "left")
+    all_ = all_.select("sig", "v", "n", "u", F.coalesce("component", "v").alias("c"))
+    still = all_.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("sig")
+    return all_.join(still, "sig")
+
+
+def _block_links(entries: DataFrame, bodies: DataFrame, percent: int, block_tokens: int) -> DataFrame | None:
+    """A spanning forest (a, b) of the links between members of one list and different components;
+    None where no list is open."""
+    e = stash(entries, "open")
+    if e.isEmpty():
+        discard(e)
+        return None
+    # groups of lists that share members: one comparison of the group, or one for each list
+    low = e.groupBy("sig").agg(F.min("v").alias("w"), F.count("*").cast("double").alias("m"))
+    edges = e.join(low, "sig").select(F.col("v").alias("a"), F.col("w").alias("b"))
+    group = components(edges, "groups").withColumnRenamed("node", "v").withColumnRenamed("component", "k")
+    named = stash(e.join(group, "v").select("sig", "v", "n", "u", "c", "k"), "named")
+    by_list = named.groupBy("sig", "k").agg(F.count("*").cast("double").alias("m")).groupBy("k").agg(F.sum(F.col("m") * F.col("m")).alias("one_by_one"))
+    by_group = named.select("k", "v").distinct().groupBy("k").agg(F.count("*").cast("double").alias("m"))
+    whole = by_group.join(by_list, "k").select("k", (F.col("m") * F.col("m") <= F.col("one_by_one")).alias("whole"))
+    member = named.join(whole, "k").select(F.when(F.col("whole"), F.col("k")).otherwise(F.col("sig")).alias("g"), "whole", "v", "n", "u", "c").distinct()
+    # blocks: large components have their own, small ones share
+    size = member.groupBy("g", "whole", "c").agg(F.sum("n").alias("t"))
+    size = size.withColumn("big", F.col("t") >= block_tokens // 2)
+    rest = size.where("NOT big").groupBy("g", "whole").agg(F.ceil(F.sum("t") / block_tokens).cast("int").alias("parts"))
+    size = size.join(rest, ["g", "whole"], "left").select(
+        "g", "whole", "c", "big", F.when(F.col("big"), F.ceil(F.col("t") / block_tokens).cast("int")).otherwise(F.col("parts")).alias("parts")
+    )
+    dealt = member.join(size, ["g", "whole", "c"]).select(
+        "g", "whole", "v", "n", "u", "c",
+        F.when(F.col("big"), F.col("c")).alias("own"), F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("i"),
+    ).withColumn("block", F.xxhash64("own", "i"))
+    dealt = stash(dealt, "dealt")
+    blocks = dealt.select("g", "whole", "block", "own").distinct()
+    x = blocks.select("g", "whole", F.col("block").alias("x"), F.col("own").alias("ox"))
+    y = blocks.select("g", "whole", F.col("block").alias("y"), F.col("own").alias("oy"))
+    # two blocks of one large component have nothing to compare
+    couples = x.join(y, ["g", "whole"]).where("x <= y AND NOT coalesce(ox = oy, false)").select("g", "whole", "x", "y")
+    task = F.xxhash64("g", "whole", "x", "y").alias("task")
+    left = dealt.join(couples.withColumn("block", F.col("x")), ["g", "whole", "block"])
+    right = dealt.join(couples.where("x <> y").withColumn("block", F.col("y")), ["g", "whole", "block"])
+    sides = left.select(task, F.lit(0).alias("side"), "v", "n", "u", "c").unionByName(right.select(task, F.lit(1).alias("side"), "v", "n", "u", "c"))
 
     def run(t: pa.Table) -> pa.Table:
-        side = np.array(t["near"].to_pylist())
-        ids = t["doc_id"].to_numpy()
+        side = t["side"].to_numpy()
+        ids, n, u, c = (t[x].to_numpy() for x in ("v", "n", "u", "c"))
         sets = [np.frombuffer(x, np.uint64) for x in t["body"].to_pylist()]
-        size = np.array([len(x) for x in sets])
-        a, b = np.flatnonzero(side), np.flatnonzero(~side)
+        a = np.flatnonzero(side == 0)
+        b = np.flatnonzero(side == 1)
+        b = b if len(b) else a
+        if not len(a):
+            a = b
+        token = np.concatenate([sets[i] for i in a])
+        owner = np.repeat(np.arange(len(a)), n[a])
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        first = runs(token)
+        distinct, last = token[first], np.append(first, len(token))
+        names, label = np.unique(c, return_inverse=True)  # components, joined as links are found
         out_a, out_b = [], []
-        if len(a) and len(b):
-            token = np.concatenate([sets[i] for i in a])
-            owner = np.repeat(np.arange(len(a)), size[a])
-            order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
-            for k in b.tolist():
-                lo, hi = np.searchsorted(token, sets[k], "left"), np.searchsorted(token, sets[k], "right")
-                common = np.bincount(owner[ranges(lo, hi - lo)], minlength=len(a))
-                hit = np.flatnonzero(100 * common >= percent * (size[a] + size[k] - common))
-                out_a += ids[a[hit]].tolist()
-                out_b += [int(ids[k])] * len(hit)
+        for k in b.tolist():
+            most = np.minimum(u[a], u[k])
+            able = (label[a] != label[k]) & (100 * most >= percent * (n[a] + n[k] - most))
+            if not able.any():
+                continue
+            at = np.searchsorted(distinct, sets[k])
+            at[at == len(distinct)] = 0
+            at = at[distinct[at] == sets[k]]
+            common = np.bincount(owner[ranges(last[at], last[at + 1] - last[at])], minlength=len(a))
+            hit = np.flatnonzero(able & (100 * common >= percent * (n[a] + n[k] - common)))
+            joined, where = np.unique(label[a[hit]], return_index=True)
+            for r, w in zip(joined.tolist(), hit[where].tolist(), strict=True):
+                out_a.append(int(ids[a[w]]))
+                out_b.append(int(ids[k]))
+                label[label == r] = label[k]
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
-    both = left.unionByName(right).join(bodies, "doc_id")
-    return stash(both.groupBy("c", "i", "j").applyInArrow(run, "a long, b long"), "near_links")
+    found = stash(sides.join(bodies, "v").groupBy("task").applyInArrow(run, "a long, b long"), "block_links")
+    discard(e, named, dealt, group)
+    return found

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, column_bytes, lower_ascii, prefix_hash, range_hash, runs, word_bounds
+from .shared import bounded_batches, column_bytes, lower_ascii, runs, word_bounds, word_hashes
 
 WORD_BITS, RANK, INTERVALS = 15, 8, 8
 N_STATS = 18
@@ -53,7 +53,7 @@ def extract(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     s, e = word_bounds(spaced)
     at = np.searchsorted(s, soff)
     words = np.diff(at).astype(np.float64)
-    h = range_hash(prefix_hash(lower_ascii(spaced)), s, e)
+    h = word_hashes(lower_ascii(spaced), s, e)
     doc = np.repeat(np.arange(n), np.diff(at))
     # distinct words of each document and how often each occurs
     order = np.lexsort((h, doc))
@@ -71,7 +71,7 @@ def extract(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     feed = data == 10
     line_bounds = np.unique(np.concatenate((off, np.flatnonzero(feed) + 1)))
     ldoc = np.searchsorted(off, line_bounds[:-1], "right") - 1
-    lh = range_hash(prefix_hash(data), line_bounds[:-1], line_bounds[1:])
+    lh = word_hashes(data, line_bounds[:-1], line_bounds[1:])
     lorder = np.lexsort((lh, ldoc))
     l2, d2 = lh[lorder], ldoc[lorder]
     lnew = np.concatenate(([True], (l2[1:] != l2[:-1]) | (d2[1:] != d2[:-1]))) if len(l2) else np.zeros(0, bool)

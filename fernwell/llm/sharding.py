@@ -52,9 +52,9 @@ def assign(df: DataFrame, key: str, counts: dict[str, int]) -> DataFrame:
         return pd.DataFrame({n: jump_hash(a, c) for n, c in counts.items()})
 
     got = place(F.col(f"`{key}`").cast("long"))
-    return df.select(*[F.col(f"`{c}`") for c in kept], got.alias("_placed")).select(
-        *[F.col(f"`{c}`") for c in kept], *[F.col(f"_placed.{n}").alias(n) for n in counts]
-    )
+    # two structs, so that no name of the table can clash with one used here
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), got.alias("placed"))
+    return rows.select("row.*", *[F.col(f"placed.{n}").alias(n) for n in counts])
 
 
 def slots(df: DataFrame, rows_per_bucket: int = 20_000) -> DataFrame:

@@ -23,26 +23,25 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_FALLBACK: list[str] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one of
-    this process where that is unset (local tests)."""
+    """The folder that driver and executors share, spark.checkpoint.dir. Only a local session, whose
+    driver and executors are one process, gets a folder of its own where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not _FALLBACK:
-            _FALLBACK.append("file://" + tempfile.mkdtemp(prefix="fernwell-"))
-        found = _FALLBACK[0]
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="fernwell-")
+        spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
@@ -97,10 +96,13 @@ def text_bytes(docs: DataFrame) -> int:
 
 
 def in_blocks(docs: DataFrame, n_blocks: int) -> DataFrame:
-    """Adds the block of each document; the same for the same id in every pass."""
-    return docs.withColumn(
-        "block", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(n_blocks)).cast("int")
-    )
+    """Adds the block of each document (doc_id, th: hash of its text), the same in every pass; rows
+    without an id, or with one id and several texts, are spread by the text."""
+    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "th"), F.lit(n_blocks)).cast("int"))
+
+
+def with_text_hash(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("th", F.xxhash64("text"))
 
 
 def block_count(total_bytes: int, block_bytes: int) -> int:
@@ -137,38 +139,83 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-#: Base of the polynomial hashes and its inverse modulo 2^64.
-BASE = 0x9E3779B97F4A7C15 | 1
-BASE_INV = pow(BASE, -1, 2**64)
+#: Modulus of the polynomial hashes, a Mersenne prime, and their two bases. A prime modulus has no
+#: strings that agree for every base, as 2^64 has (Thue-Morse words).
+PRIME = (1 << 31) - 1
+BASES = (1_157_920_891, 1_870_662_173)
+_M, _S = np.uint64(PRIME), np.uint64(31)
 _rng = np.random.default_rng(20240607)
-BYTE_CODES = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS: dict[str, np.ndarray] = {}
+BYTE_CODES = _rng.integers(1, PRIME, (2, 256), dtype=np.uint64)
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^0.. and BASE^-0.., n of each."""
-    have = _POWERS.get("p")
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        for key, base in (("p", BASE), ("q", BASE_INV)):
-            a = np.full(size, base, np.uint64)
-            a[0] = 1
-            _POWERS[key] = np.cumprod(a)
-    return _POWERS["p"][:n], _POWERS["q"][:n]
-
-
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Prefix sums of the polynomial hash, n+1 values."""
-    p, _ = powers(len(data))
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * p, out=out[1:])
-    return out
+def _fold(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, up to one more multiple of it for x under 2^62."""
+    return (x & _M) + (x >> _S)
 
 
-def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of data[start:end] for arrays of bounds, equal for equal bytes."""
-    _, q = powers(len(prefix))
-    return mix((prefix[end] - prefix[start]) * q[start] + (end - start).astype(np.uint64))
+def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each base its powers 0.. and those of its inverse, n of each at least."""
+    if not _POWERS or len(_POWERS[0][0]) < n:
+        size = max(n, 1 << 16)
+        _POWERS.clear()
+        for base in BASES:
+            both = []
+            for x in (base, pow(base, -1, PRIME)):
+                a = np.ones(size, np.uint64)
+                have = 1
+                while have < size:
+                    more = min(have, size - have)
+                    a[have : have + more] = a[:more] * np.uint64(pow(x, have, PRIME)) % _M
+                    have += more
+                both.append(a)
+            _POWERS.append((both[0], both[1]))
+    return _POWERS
+
+
+def prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of both polynomial hashes, n+1 values each; sums of up to 2^31 bytes fit."""
+    out = []
+    for codes, (p, _) in zip(BYTE_CODES, powers(len(data) + 1), strict=True):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_fold(codes[data] * p[: len(data)]), out=sums[1:])
+        out.append(sums)
+    return out[0], out[1]
+
+
+def range_hash(prefix: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of data[start:end] for arrays of bounds, equal for equal bytes: 62 bits of two
+    polynomial hashes and the length, mixed."""
+    h = [_fold((_fold(_fold(s[end] - s[start])) % _M) * q[start]) % _M for s, (_, q) in zip(prefix, powers(len(prefix[0])), strict=True)]
+    return mix(mix((h[0] << _S) | h[1]) + (end - start).astype(np.uint64))
+
+
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one integer; zeros follow the data."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray(len(data) + 1, np.dtype("<u8"), padded, 0, (1,))
+
+
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LONG_WORD = 64
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of short ranges: their bytes are mixed in, eight at a time; ranges beyond 64 bytes
+    go through a library hash."""
+    size = end - start
+    eight = words_at(data)
+    h = mix(size.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
+    live = np.flatnonzero(size <= _LONG_WORD)
+    at = 0
+    while len(live):
+        left = size[live] - at
+        h[live] = mix((h[live] ^ (eight[start[live] + at] & _LOW_BYTES[np.minimum(left, 8)])) * np.uint64(0x9FB21C651E98DF25))
+        at += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
+    return h
 
 
 def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

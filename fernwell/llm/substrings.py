@@ -42,12 +42,13 @@ from .shared import (
     in_blocks,
     mix,
     planes,
-    powers,
     prefix_hash,
     range_hash,
     ranges,
     runs,
     text_bytes,
+    with_text_hash,
+    words_at,
 )
 
 _SYNC, _SYNC_BITS = 16, 4
@@ -119,7 +120,7 @@ class _Block:
 
     def __init__(self, t: pa.Table, length: int, prime: int) -> None:
         self.block = t["block"][0].as_py()
-        t = t.sort_by("doc_id")
+        t = t.sort_by([("doc_id", "ascending"), ("th", "ascending")])
         self.ids = t["doc_id"]
         self.off, self.data = column_bytes(t["text"])
         self.length = length
@@ -157,9 +158,9 @@ class _Block:
         index and the hash of all that its strings reach."""
         if not len(cand):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        _, q = powers(len(self.prefix))
         n = len(self.data) - _SYNC + 1
-        value = (self.prefix[_SYNC:] - self.prefix[:n]) * q[:n]
+        eight = words_at(self.data)
+        value = mix(mix(eight[:n]) + eight[8 : n + 8])
         sync = np.flatnonzero(value >> np.uint64(64 - _SYNC_BITS) == 0)
         k = np.searchsorted(sync, cand)
         x = np.append(sync, 1 << 62)[k]
@@ -202,7 +203,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
     v, cover = difference_cover(prime)
     if v >= length:
         raise ValueError("the cover's modulus must be less than the length")
-    docs = documents_of(docs)
+    docs = with_text_hash(documents_of(docs))
     total = text_bytes(docs)
     n_blocks = block_count(total, block_bytes)
     n_buckets = block_count(total * 8 * len(cover) // v, bucket_bytes)
