@@ -199,6 +199,21 @@ def linked_rows(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes:
     )
 
 
+def one_of_each(docs: DataFrame, **how) -> DataFrame:  # noqa: ANN003
+    """The row of each component with the smallest doc_id (then hash of the text), with all its
+    columns; of rows equal in both, one."""
+    kept = linked_rows(docs, **how).where("first").groupBy("doc_id", "th").agg(F.count("*").alias("m"))
+    kept = stash(kept.select(F.struct("doc_id", "th").alias("key"), (F.col("m") > 1).alias("many")), "kept")
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("th"))
+    rows = docs.select(key.alias("key"), F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))
+    if kept.where("many").isEmpty():
+        return rows.join(kept, "key", "left_semi").select("row.*")
+    # equal rows are told apart by nothing: any one of them
+    once = rows.join(kept.where("NOT many"), "key", "left_semi")
+    more = rows.join(kept.where("many"), "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    return once.unionByName(more).select("row.*")
+
+
 def _signatures(docs, reps, total, words, percent, cut, block_bytes, bucket_bytes) -> DataFrame:  # noqa: ANN001
     """(sig, v, n, u, body): list entries of the classes v with n shingles, u of which others may
     share, and one row with sig null and the set for each class that is in a list."""

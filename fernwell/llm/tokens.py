@@ -3,7 +3,8 @@
 A byte-pair tokenizer of this library cuts a text before it merges, and one place where it always
 cuts is before a white-space character that a visible one follows. The text is cut there, each
 distinct piece of a batch is encoded once, and the ids are put together again in numpy. The ids
-equal those of `tokenizers` on the whole text (tests/llm compares them).
+equal those of `tokenizers` on the whole text (tests/llm compares them). A text that holds a mark of
+the file's added tokens, such as an end-of-text mark, is encoded by the library as a whole.
 
 Pieces are encoded by a byte-pair encoder that takes merges by rank, fed with the vocabulary and
 merges of the tokenizer file. That gives what the file's own merge list gives if each token of the
@@ -49,15 +50,27 @@ def _raw(token: str) -> bytes:
     return bytes(letters[c] for c in token)
 
 
+@lru_cache(maxsize=2)
+def library(path: str):  # noqa: ANN201
+    """The tokenizer of the file, as the library has it."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def marks(path: str) -> tuple[bytes, ...]:
+    """What the added tokens of the file look like in a text."""
+    return tuple(sorted(t.content.encode() for t in library(path).get_added_tokens_decoder().values()))
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Ids of pieces as little-endian 16-bit integers, for a tokenizer file."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import tiktoken
-    from tokenizers import Tokenizer
 
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
+    own = library(path)
     with open(path, encoding="utf-8") as f:
         model = json.load(f)["model"]
     suffix = model.get("end_of_word_suffix") or ""
@@ -159,15 +172,29 @@ def _encode_slice(path: str, off: np.ndarray, data: np.ndarray) -> tuple[np.ndar
     lens = size[codes]
     ids = flat[ranges(begin[codes], lens)]
     before = np.concatenate(([0], np.cumsum(lens)))
-    return before[np.searchsorted(bounds, off)], ids
+    return _with_marks(path, off, data, before[np.searchsorted(bounds, off)], ids)
+
+
+def _with_marks(path: str, off: np.ndarray, data: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token offsets and ids, texts that hold marks being encoded anew."""
+    raw, found = data.tobytes(), set()
+    for mark in marks(path):
+        k = raw.find(mark)
+        while k >= 0:
+            found.add(int(np.searchsorted(off, k, "right")) - 1)
+            k = raw.find(mark, k + 1)
+    if not found:
+        return at, ids
+    rows = [ids[i:j] for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    for k in found:
+        text = raw[off[k] : off[k + 1]].decode("utf-8", "replace")
+        rows[k] = np.array(library(path).encode(text, add_special_tokens=False).ids, np.uint16)
+    return np.concatenate(([0], np.cumsum([len(r) for r in rows]))), np.concatenate(rows)
 
 
 def odd_tokens(path: str) -> list[str]:
     """Tokens made by merges that do not encode to themselves (see the module's text)."""
-    from tokenizers import Tokenizer
-
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
+    own = library(path)
     with open(path, encoding="utf-8") as f:
         model = json.load(f)["model"]
     suffix = model.get("end_of_word_suffix") or ""

@@ -60,9 +60,9 @@ def test_ids_equal_the_library(name):
 
     path = tokenizer_file(name)
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     r = random.Random(4)
-    texts = EDGE + ["".join(r.choice("ab'sé Ü1.,\n\t  ñLL") for _ in range(r.randrange(80))) for _ in range(300)]
+    marked = ["hello <|endoftext|> world", "<|startoftext|><|endoftext|>", " a<|endoftext|>  b\n<|startoftext|>é", "<|ENDOFTEXT|> <|endoftext", "|>"]
+    texts = EDGE + marked + ["".join(r.choice("ab'sé Ü1.,\n\t  ñLL") for _ in range(r.randrange(80))) for _ in range(300)]
     want = [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
     got = [ids[o[i] : o[i + 1]].tolist() for _, o, ids in tokens.encode_texts(path, pa.array(texts), 500) for i in range(len(o) - 1)]
     assert got == want
@@ -126,8 +126,7 @@ def test_token_files(spark):
 
     path = tokenizer_file("word_bpe_49k.json")
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
-    rows = [(i, f"some words {i} again and again " * (i % 7)) for i in range(60)] + [(70, None), (3, "twice")]
+    rows = [(i, f"some words {i} again and again " * (i % 7)) for i in range(60)] + [(70, None), (71, "x <|endoftext|> y"), (3, "twice")]
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, start int").repartition(5)
     got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in grammar.through_files(df, path).collect())
     at = 0
