@@ -7,7 +7,6 @@ Parquet and read again as the next stage's docs. All but the last return the col
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fernwell.llm import decontaminate, jaccard, packing, pii, quality
 from fernwell.llm.queries import tokenizer_file
@@ -15,32 +14,31 @@ from fernwell.llm.shared import stash, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject, rows without an id or with a repeated
+    one, and empty ones, by their own text."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id; of rows with
-    one id, one."""
-    classes = jaccard.link_components(docs)
-    # documents without words are linked with nothing, and stay
-    kept = classes.where("component_id = doc_id OR doc_id IS NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    same = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return same.dropDuplicates(["doc_id", "text"])
+    """One row of each group of near duplicates, the one with the smallest id, whatever the ids:
+    rows without an id and rows that share one are decided on their own. Documents without words
+    are linked with nothing, and stay; of equal rows one stays."""
+    return jaccard.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; those without text hold none. Rows that share an id
+    (or have none) go if one of them holds an item."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by marks."""
+    """All documents, personal data replaced by marks; a null text stays null."""
     return pii.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the training sequences."""
+    """The pieces of the training sequences; a null or empty text is its end id alone."""
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
