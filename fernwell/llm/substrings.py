@@ -14,10 +14,14 @@ same document or in another. Blocks and buckets (see shared.py) find these strin
 3. *Buckets of strings.* The strings of one stretch of each rank, and of the stretches that tie
    with none, are sent to the bucket of their hash; each bucket is sorted for itself.
 
+Passages of `passage_words` words that another document has too are found beside them: the same
+cover idea over words, whose samples and windows of words travel with the hashes of steps 1 and 2.
+
 Every step holds one block or one bucket; no suffix array of the corpus is ever in one place. Ranks
 are equality classes by 64-bit hashes, so the order inside a bucket is that of the hashes and not
 of the bytes, which the question does not need. Two different strings get one hash with a chance
-of about n^2 / 2^65 for n candidate strings.
+of about n^2 / 2^63 for n candidate strings (two polynomial hashes modulo 2^31 - 1, mixed; for a
+given pair of strings of m bytes it is at most (m / 2^31)^2 over all bases). Texts travel compressed.
 
 Cases: a null text is empty; a text shorter than `length` loses nothing; equal rows lose all their
 bytes when long enough; an empty table gives no rows; extra columns are ignored.
@@ -26,17 +30,18 @@ bytes when long enough; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import (
     block_count,
     bucket_answers,
-    column_bytes,
     cut_by_bucket,
     documents_of,
     in_blocks,
@@ -48,6 +53,8 @@ from .shared import (
     runs,
     text_bytes,
     with_text_hash,
+    word_bounds,
+    word_hashes,
     words_at,
 )
 
@@ -115,6 +122,73 @@ def _shared_codes(arrays: list[np.ndarray], _blocks: list[int]) -> list[np.ndarr
     return np.split(code, np.cumsum([len(a) for a in arrays])[:-1])
 
 
+class _Passages:
+    """The words of a block's documents, and which windows of them other documents have."""
+
+    def __init__(self, b: _Block, words: int) -> None:
+        n = len(b.off) - 1
+        spaced = np.full(len(b.data) + n, 32, np.uint8)
+        spaced[np.arange(len(b.data)) + np.repeat(np.arange(n), np.diff(b.off))] = b.data
+        s, e = word_bounds(spaced)
+        self.words = words
+        self.prime = max(p for p in (1, 2, 3, 5, 7, 11) if p * p + p + 1 < words) if words > 3 else 1
+        self.v, self.cover = difference_cover(self.prime) if self.prime > 1 else (1, (0,))
+        self.at = np.searchsorted(s, b.off + np.arange(n + 1))
+        self.hash = word_hashes(spaced, s, e)
+        pos = b.cover_places(np.diff(self.at), self.at[:-1], words, self.v, self.cover)
+        self.pos = np.sort(pos)
+        self.sample, self.sample_place = self.by_document(self.pos, words - self.v + 1)
+
+    def windows(self, pos: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of `size` words from each place: two windows of a power of two that cover them."""
+        h, n = self.hash, 1
+        while 2 * n <= size:
+            h = mix(h[: len(h) - n] * _ODD + h[n:]) if len(h) > n else h[:0]
+            n *= 2
+        return mix(h[pos] * _ODD + h[pos + size - n] + np.uint64(size)) if len(pos) else np.zeros(0, np.uint64)
+
+    def by_document(self, pos: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes that the block sends, one for each document that has it, and where the hash of
+        each place stands among them."""
+        h = self.windows(pos, size)
+        doc = np.searchsorted(self.at, pos, "right") - 1
+        order = np.lexsort((h, doc))
+        hs, ds = h[order], doc[order]
+        new = np.ones(len(hs), bool)
+        new[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
+        place = np.empty(len(h), np.int64)
+        place[order] = np.cumsum(new) - 1
+        return hs[new], place
+
+    def open_windows(self, again: np.ndarray) -> np.ndarray:
+        """Starts of windows in whose first v words a sample that another document has stands."""
+        p = self.pos[again[self.sample_place]]
+        mark = np.zeros(len(self.hash) + 1, np.int32)
+        doc = np.searchsorted(self.at, p, "right") - 1
+        lo = np.maximum(p - self.v + 1, self.at[doc])
+        hi = np.minimum(p, self.at[doc + 1] - self.words)
+        ok = hi >= lo
+        np.add.at(mark, lo[ok], 1)
+        np.add.at(mark, hi[ok] + 1, -1)
+        return np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+
+    def totals(self, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Maximal runs of words under the windows from these starts, and words in them."""
+        mark = np.zeros(len(self.hash) + 1, np.int32)
+        np.add.at(mark, start, 1)
+        np.add.at(mark, start + self.words, -1)
+        inside = np.cumsum(mark[:-1]) > 0
+        head = inside.copy()
+        head[1:] &= ~inside[:-1]
+        head[self.at[:-1][np.diff(self.at) > 0]] = inside[self.at[:-1][np.diff(self.at) > 0]]
+        n = len(self.at) - 1
+        doc = np.repeat(np.arange(n), np.diff(self.at))
+        return np.bincount(doc[head], minlength=n), np.bincount(doc[inside], minlength=n)
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
 class _Block:
     """The documents of one block as one byte array, and the steps over it."""
 
@@ -122,24 +196,28 @@ class _Block:
         self.block = t["block"][0].as_py()
         t = t.sort_by([("doc_id", "ascending"), ("th", "ascending")])
         self.ids = t["doc_id"]
-        self.off, self.data = column_bytes(t["text"])
+        unpack = zstandard.ZstdDecompressor().decompress
+        texts = [unpack(x) for x in t["z"].to_pylist()]
+        self.off = np.concatenate(([0], np.cumsum([len(x) for x in texts]))).astype(np.int64)
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.length = length
         self.v, self.cover = difference_cover(prime)
         self.prefix = prefix_hash(self.data)
 
     def samples(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the cover sample and hashes of their ranks."""
-        reach = self.length - self.v + 1
-        n = np.diff(self.off)
-        last = np.where(n >= self.length, n - reach, -1)  # last start in the document
+        pos = self.cover_places(np.diff(self.off), self.off[:-1], self.length, self.v, self.cover)
+        return pos, range_hash(self.prefix, pos, pos + self.length - self.v + 1)
+
+    def cover_places(self, sizes: np.ndarray, starts: np.ndarray, length: int, v: int, cover: tuple[int, ...]) -> np.ndarray:
+        """Places of the cover sample in documents of the given sizes that start where stated."""
+        last = np.where(sizes >= length, sizes - (length - v + 1), -1)  # last start in the document
         at = []
-        for r in self.cover:
-            count = np.where(last >= r, (last - r) // self.v + 1, 0)
-            which = np.repeat(np.arange(len(n)), count)
-            nth = ranges(np.zeros(len(n), np.int64), count)
-            at.append(self.off[which] + r + nth * self.v)
-        pos = np.concatenate(at) if at else np.zeros(0, np.int64)
-        return pos, range_hash(self.prefix, pos, pos + reach)
+        for r in cover:
+            count = np.where(last >= r, (last - r) // v + 1, 0)
+            which = np.repeat(np.arange(len(sizes)), count)
+            at.append(starts[which] + r + ranges(np.zeros(len(sizes), np.int64), count) * v)
+        return np.concatenate(at) if at else np.zeros(0, np.int64)
 
     def candidates(self, pos: np.ndarray, again: np.ndarray) -> np.ndarray:
         """Starts whose string may repeat: a repeated sample lies in its first v bytes."""
@@ -192,14 +270,24 @@ class _Block:
         return send
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for b in batches:
+        z = pa.array([pack(x.as_buffer()) for x in b["text"]], pa.binary())
+        yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "th": b["th"], "block": b["block"], "z": z})
+
+
 def _answers(t: pa.Table, stage: int) -> np.ndarray:
     own = [(b, p) for s, b, p in zip(t["stage"].to_pylist(), t["bucket"].to_pylist(), t["payload"].to_pylist(), strict=True) if s == stage]
     return np.concatenate([np.frombuffer(p, np.uint8) for _, p in sorted(own)] or [np.zeros(0, np.uint8)])
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the remaining bytes, if
-    with_text) of every document. prime sets the cover: prime^2 + prime + 1 must be under length."""
+def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20, with_text: bool = False, passage_words: int = 51) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages and n_passage_words (maximal runs
+    of words that lie in windows of passage_words words which another document has, and their
+    words), and kept (the remaining bytes) if with_text, of every document. prime sets the cover:
+    prime^2 + prime + 1 must be under length."""
     v, cover = difference_cover(prime)
     if v >= length:
         raise ValueError("the cover's modulus must be less than the length")
@@ -207,31 +295,37 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
     total = text_bytes(docs)
     n_blocks = block_count(total, block_bytes)
     n_buckets = block_count(total * 8 * len(cover) // v, bucket_bytes)
-    d = in_blocks(docs, n_blocks)
-    out_schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    d = in_blocks(docs, n_blocks).mapInArrow(_packed, "doc_id long, th long, block int, z binary")
+    out_schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, n_passage_words long" + ", kept binary" * with_text
+
+    def both(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What is sent of byte and of word hashes, and the places of either."""
+        sent, place = _twice(np.concatenate((x, y ^ _ODD)))
+        return sent, place[: len(x)], place[len(x) :]
 
     def first(t: pa.Table) -> pa.Table:
         b = _Block(t, length, prime)
-        return _ask(b.block, _twice(b.samples()[1])[0], n_buckets)
+        return _ask(b.block, both(b.samples()[1], _Passages(b, passage_words).sample)[0], n_buckets)
 
     def to_stretches(b: _Block, answers: pa.Table):  # noqa: ANN202
         pos, h = b.samples()
-        place = _twice(h)[1]
+        p = _Passages(b, passage_words)
+        _, place, word_place = both(h, p.sample)
         codes = _answers(answers, 1)
-        cand = b.candidates(pos, codes[place] > 0 if len(place) else np.zeros(0, bool))
+        cand = b.candidates(pos, codes[place] > 0)
         stretch, _, sh = b.stretches(cand)
-        return cand, stretch, sh
+        start = p.open_windows(codes[word_place] > 0)
+        windows, at = p.by_document(start, passage_words)
+        return cand, stretch, p, start, at, both(sh, windows)
 
     def second(t: pa.Table, a: pa.Table) -> pa.Table:
         if not t.num_rows:
             return _ask(0, np.zeros(0, np.uint64), n_buckets)
         b = _Block(t, length, prime)
-        _, _, sh = to_stretches(b, a)
-        return _ask(b.block, _twice(sh)[0], n_buckets)
+        return _ask(b.block, to_stretches(b, a)[-1][0], n_buckets)
 
     def to_strings(b: _Block, a: pa.Table):  # noqa: ANN202
-        cand, stretch, sh = to_stretches(b, a)
-        place = _twice(sh)[1]
+        cand, stretch, p, start, at, (_, place, word_place) = to_stretches(b, a)
         codes = _answers(a, 2)
         send = b.open_strings(stretch, codes, place)
         again = np.zeros(len(cand), bool)
@@ -239,8 +333,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
             inside = stretch >= 0
             again[inside] = (codes[place] > 0)[stretch[inside]]
         s = cand[send]
+        shared = start[(codes[word_place] > 0)[at]] if len(start) else start
         sent, at = _twice(range_hash(b.prefix, s, s + length))
-        return cand, again, send, sent, at
+        return cand, again, send, sent, at, p.totals(shared)
 
     def third(t: pa.Table, a: pa.Table) -> pa.Table:
         if not t.num_rows:
@@ -249,12 +344,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
         return _ask(b.block, to_strings(b, a)[3], n_buckets)
 
     def last(t: pa.Table, a: pa.Table) -> pa.Table:
-        cols: dict[str, list] = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
+        cols: dict[str, list] = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "n_passages": [], "n_passage_words": []}
         if with_text:
             cols["kept"] = []
         if t.num_rows:
             b = _Block(t, length, prime)
-            cand, again, send, _, at = to_strings(b, a)
+            cand, again, send, _, at, (passages, passage_words_) = to_strings(b, a)
             codes = _answers(a, 3)
             hit = again.copy()
             where = np.flatnonzero(send)
@@ -271,7 +366,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
                 n = int(np.count_nonzero(g))
                 spans = int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1])) if n else 0
                 kept = (kept[~g] if n else kept).tobytes()
-                row = (doc_id, e - s, n, spans, hashlib.sha256(kept).hexdigest(), kept)
+                row = (doc_id, e - s, n, spans, hashlib.sha256(kept).hexdigest(), int(passages[i]), int(passage_words_[i]), kept)
                 for c, x in zip(cols.values(), row, strict=False):
                     c.append(x)
         kinds = {"kept_sha256": pa.string(), "kept": pa.binary()}
@@ -283,7 +378,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
     by_block = d.groupBy("block")
     one = answered(by_block.applyInArrow(first, _ASKED), 1)
     two = answered(by_block.cogroup(one.groupBy("block")).applyInArrow(second, _ASKED), 2)
-    both = one.unionByName(two)
-    three = answered(by_block.cogroup(both.groupBy("block")).applyInArrow(third, _ASKED), 3)
-    everything = both.unionByName(three)
+    two = one.unionByName(two)
+    three = answered(by_block.cogroup(two.groupBy("block")).applyInArrow(third, _ASKED), 3)
+    everything = two.unionByName(three)
     return by_block.cogroup(everything.groupBy("block")).applyInArrow(last, out_schema)

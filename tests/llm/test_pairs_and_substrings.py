@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from fernwell.llm.embeddings import near_duplicates, plan_tables
 from fernwell.llm.jaccard import boundary, link_components
@@ -107,11 +108,101 @@ def test_repeated_substrings(spark):
     rows += [(500, None), (501, ""), (502, "a" * 300), (503, "a" * 41 + "b"), (504, "a" * 300), (504, "a" * 300), (505, "xy" * 100)]
     df = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, block int")
     for length, prime in ((40, 5), (60, 7)):
-        got = sorted(tuple(x) for x in remove_repeats(df, length, prime, 2000, 3000).collect())
+        got = sorted(tuple(x)[:5] for x in remove_repeats(df, length, prime, 2000, 3000).collect())
         assert got == brute_repeats(rows, length)
     assert remove_repeats(df.limit(0)).count() == 0
 
 
+def brute_passages(rows, n):
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    holders: dict = {}
+    for k, w in enumerate(words):
+        for j in range(len(w) - n + 1):
+            holders.setdefault(tuple(w[j : j + n]), set()).add(k)
+    out = []
+    for (i, _), w in zip(rows, words):
+        inside = [False] * len(w)
+        for j in range(len(w) - n + 1):
+            if len(holders[tuple(w[j : j + n])]) > 1:
+                inside[j : j + n] = [True] * n
+        out.append((i, sum(x and not (k and inside[k - 1]) for k, x in enumerate(inside)), sum(inside)))
+    return sorted(out)
+
+
+def test_passages_of_other_documents(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abc") for _ in range(r.randrange(1, 4)))
+    text = lambda n: [word() for _ in range(n)]
+    shared = [text(n) for n in (11, 12, 13, 30, 80)]
+    rows = []
+    for i in range(80):
+        parts = text(r.randrange(20))
+        for _ in range(r.randrange(3)):
+            parts += r.choice(shared)[: r.choice([10, 12, 99])] + text(r.randrange(12))
+        rows.append((i, r.choice([" ", "\n"]).join(parts)))
+    rows += [(100, "x y " * 40), (101, None), (102, "q " * 3), (103, rows[3][1]), (103, rows[3][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (12, 40):
+        got = remove_repeats(df, passage_words=n, block_bytes=1500, bucket_bytes=2000).select("doc_id", "n_passages", "n_passage_words")
+        assert sorted(tuple(x) for x in got.collect()) == brute_passages(rows, n)
+
+
+def test_unlike_words_of_two_letters_stay_apart(spark):
+    """Thue-Morse words, which agree under polynomial hashes modulo a power of two."""
+    words = []
+    for two in ("ab", "xz"):
+        w = two[0]
+        for _ in range(10):
+            w += w.translate(str.maketrans(two, two[::-1]))
+        words += [w, w.translate(str.maketrans(two, two[::-1]))]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    assert sorted(tuple(x) for x in link_components(df).collect()) == [(i, 1, i) for i in range(4)]
+    got = sorted(tuple(x)[:5] for x in remove_repeats(df, 600, 17).collect())
+    assert got == brute_repeats(list(enumerate(words)), 600)
+
+
+def test_join_of_documents_near_one_base(spark):
+    """What a join compares beyond pivots grows with the rows, not with their square."""
+    from fernwell.llm import jaccard
+
+    made, keep = {}, jaccard.stash
+
+    def count(df, label):
+        out = keep(df, label)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    r, largest = random.Random(4), []
+    base = [f"b{i}" for i in range(100)]
+    jaccard.stash = count
+    try:
+        for n in (150, 450):
+            rows = []
+            for i in range(n):
+                w = list(base)
+                for j in r.sample(range(100), r.choice([2, 3, 4])):
+                    w[j] = f"u{r.randrange(10**9)}"
+                rows.append((i, " ".join(w)))
+            made.clear()
+            got = sorted(tuple(x) for x in link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+            assert got == brute_join(rows)
+            largest.append(max(made.values()))
+    finally:
+        jaccard.stash = keep
+    assert largest[1] < 4.5 * largest[0]
+
+
+def test_rows_without_an_id_and_with_one_id(spark):
+    from fernwell.llm.jaccard import one_of_each
+
+    t = "one two three four five six seven eight nine ten"
+    rows = [(None, t, "a"), (None, t, "b"), (4, t, "c"), (None, "other words here", "d"), (9, "p q r s t u", "e"), (9, "v w", "f"), (9, "v w", "g"), (10, None, "h"), (11, "", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _kept string")
+    got = sorted((r.doc_id or -1, r.text) for r in one_of_each(df).select("doc_id", F.coalesce("text", F.lit("-")).alias("text")).collect())
+    assert got == [(-1, "other words here"), (4, t), (9, "p q r s t u"), (9, "v w"), (10, "-"), (11, "")]
+    assert one_of_each(df.limit(0)).columns == df.columns
+
+
 def test_difference_covers():
     for p in (2, 3, 5, 7, 17):
         v, d = difference_cover(p)
