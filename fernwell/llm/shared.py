@@ -173,12 +173,19 @@ def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return _POWERS
 
 
+_CHUNK = 1 << 15  # values at once: temporary arrays stay in the processor's cache
+
+
 def prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of both polynomial hashes, n+1 values each; sums of up to 2^31 bytes fit."""
     out = []
     for codes, (p, _) in zip(BYTE_CODES, powers(len(data) + 1), strict=True):
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_fold(codes[data] * p[: len(data)]), out=sums[1:])
+        for k in range(0, len(data), _CHUNK):
+            x = codes[data[k : k + _CHUNK]]
+            x *= p[k : k + len(x)]
+            sums[k + 1 : k + 1 + len(x)] = _fold(x)
+        np.cumsum(sums, out=sums)
         out.append(sums)
     return out[0], out[1]
 
@@ -186,8 +193,18 @@ def prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def range_hash(prefix: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of data[start:end] for arrays of bounds, equal for equal bytes: 62 bits of two
     polynomial hashes and the length, mixed."""
-    h = [_fold((_fold(_fold(s[end] - s[start])) % _M) * q[start]) % _M for s, (_, q) in zip(prefix, powers(len(prefix[0])), strict=True)]
-    return mix(mix((h[0] << _S) | h[1]) + (end - start).astype(np.uint64))
+    inverse = [q for _, q in powers(len(prefix[0]))]
+    out = np.empty(len(start), np.uint64)
+    for k in range(0, len(start), _CHUNK):
+        s, e = start[k : k + _CHUNK], end[k : k + _CHUNK]
+        both = []
+        for sums, q in zip(prefix, inverse, strict=True):
+            x = _fold(_fold(_fold(_fold(sums[e] - sums[s])) * q[s]))
+            x = _fold(x)
+            x[x == _M] = 0
+            both.append(x)
+        out[k : k + len(s)] = mix(mix((both[0] << _S) | both[1]) + (e - s).astype(np.uint64))
+    return out
 
 
 def words_at(data: np.ndarray) -> np.ndarray:

@@ -35,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -238,9 +239,13 @@ class _Block:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
         n = len(self.data) - _SYNC + 1
         eight = words_at(self.data)
-        value = mix(mix(eight[:n]) + eight[8 : n + 8])
-        sync = np.flatnonzero(value >> np.uint64(64 - _SYNC_BITS) == 0)
-        k = np.searchsorted(sync, cand)
+        value = eight[:n] * _ODD + eight[8 : n + 8] * np.uint64(0xD6E8FEB86659FD93)
+        here = value >> np.uint64(64 - _SYNC_BITS) == 0
+        sync = np.flatnonzero(here)
+        before = np.zeros(len(self.data) + 1, np.int32)  # stretches that start before a place
+        np.cumsum(here, out=before[1 : n + 1])
+        before[n + 1 :] = before[n]
+        k = before[cand]
         x = np.append(sync, 1 << 62)[k]
         none = x > cand + self.length - _SYNC
         key = np.where(none, -1, x)
@@ -278,8 +283,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "th": b["th"], "block": b["block"], "z": z})
 
 
-def _answers(t: pa.Table, stage: int) -> np.ndarray:
-    own = [(b, p) for s, b, p in zip(t["stage"].to_pylist(), t["bucket"].to_pylist(), t["payload"].to_pylist(), strict=True) if s == stage]
+def _answers(t: pa.Table, stage: int, n_buckets: int, words: bool) -> np.ndarray:
+    own = [(b, p) for s, b, p in zip(t["stage"].to_pylist(), t["bucket"].to_pylist(), t["payload"].to_pylist(), strict=True) if s == stage and (b >= n_buckets) == words]
     return np.concatenate([np.frombuffer(p, np.uint8) for _, p in sorted(own)] or [np.zeros(0, np.uint8)])
 
 
@@ -298,50 +303,57 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
     d = in_blocks(docs, n_blocks).mapInArrow(_packed, "doc_id long, th long, block int, z binary")
     out_schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, n_passage_words long" + ", kept binary" * with_text
 
-    def both(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What is sent of byte and of word hashes, and the places of either."""
-        sent, place = _twice(np.concatenate((x, y ^ _ODD)))
-        return sent, place[: len(x)], place[len(x) :]
+    def ask(b: _Block, hashes: np.ndarray, of_words: np.ndarray | None = None) -> pa.Table:
+        """Hashes of bytes, and those of words behind them, for buckets of their own."""
+        asked = _ask(b.block, _twice(hashes)[0], n_buckets)
+        if of_words is None:
+            return asked
+        more = _ask(b.block, _twice(of_words)[0], n_buckets)
+        return pa.concat_tables([asked, more.set_column(1, "bucket", pc.add(more["bucket"], pa.scalar(n_buckets, pa.int32())))])
+
+    def codes_of(a: pa.Table, stage: int, hashes: np.ndarray, words: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The code of each place in what was sent, and the place of each hash."""
+        return _answers(a, stage, n_buckets, words), _twice(hashes)[1]
 
     def first(t: pa.Table) -> pa.Table:
         b = _Block(t, length, prime)
-        return _ask(b.block, both(b.samples()[1], _Passages(b, passage_words).sample)[0], n_buckets)
+        return ask(b, b.samples()[1], _Passages(b, passage_words).sample)
 
-    def to_stretches(b: _Block, answers: pa.Table):  # noqa: ANN202
+    def to_stretches(b: _Block, a: pa.Table):  # noqa: ANN202
         pos, h = b.samples()
-        p = _Passages(b, passage_words)
-        _, place, word_place = both(h, p.sample)
-        codes = _answers(answers, 1)
+        codes, place = codes_of(a, 1, h)
         cand = b.candidates(pos, codes[place] > 0)
         stretch, _, sh = b.stretches(cand)
-        start = p.open_windows(codes[word_place] > 0)
-        windows, at = p.by_document(start, passage_words)
-        return cand, stretch, p, start, at, both(sh, windows)
+        return cand, stretch, sh
+
+    def to_windows(b: _Block, a: pa.Table):  # noqa: ANN202
+        p = _Passages(b, passage_words)
+        codes, place = codes_of(a, 1, p.sample, True)
+        start = p.open_windows(codes[place] > 0)
+        return p, start, *p.by_document(start, passage_words)
 
     def second(t: pa.Table, a: pa.Table) -> pa.Table:
         if not t.num_rows:
             return _ask(0, np.zeros(0, np.uint64), n_buckets)
         b = _Block(t, length, prime)
-        return _ask(b.block, to_stretches(b, a)[-1][0], n_buckets)
+        return ask(b, to_stretches(b, a)[2], to_windows(b, a)[2])
 
     def to_strings(b: _Block, a: pa.Table):  # noqa: ANN202
-        cand, stretch, p, start, at, (_, place, word_place) = to_stretches(b, a)
-        codes = _answers(a, 2)
+        cand, stretch, sh = to_stretches(b, a)
+        codes, place = codes_of(a, 2, sh)
         send = b.open_strings(stretch, codes, place)
         again = np.zeros(len(cand), bool)
         if len(place):
             inside = stretch >= 0
             again[inside] = (codes[place] > 0)[stretch[inside]]
         s = cand[send]
-        shared = start[(codes[word_place] > 0)[at]] if len(start) else start
-        sent, at = _twice(range_hash(b.prefix, s, s + length))
-        return cand, again, send, sent, at, p.totals(shared)
+        return cand, again, send, range_hash(b.prefix, s, s + length)
 
     def third(t: pa.Table, a: pa.Table) -> pa.Table:
         if not t.num_rows:
             return _ask(0, np.zeros(0, np.uint64), n_buckets)
         b = _Block(t, length, prime)
-        return _ask(b.block, to_strings(b, a)[3], n_buckets)
+        return ask(b, to_strings(b, a)[3])
 
     def last(t: pa.Table, a: pa.Table) -> pa.Table:
         cols: dict[str, list] = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "n_passages": [], "n_passage_words": []}
@@ -349,8 +361,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
             cols["kept"] = []
         if t.num_rows:
             b = _Block(t, length, prime)
-            cand, again, send, _, at, (passages, passage_words_) = to_strings(b, a)
-            codes = _answers(a, 3)
+            cand, again, send, strings = to_strings(b, a)
+            codes, at = codes_of(a, 3, strings)
+            p, start, windows, window = to_windows(b, a)
+            found, place = codes_of(a, 2, windows, True)
+            passages, passage_words_ = p.totals(start[(found[place] > 0)[window]])
             hit = again.copy()
             where = np.flatnonzero(send)
             if len(where):
