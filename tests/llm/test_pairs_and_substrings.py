@@ -228,15 +228,34 @@ def test_near_vectors(spark):
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     near = u @ u.T >= 0.9
     bad = [(900, None), (901, []), (902, [0.0] * 64), (903, [float("nan")] + [1.0] * 63), (904, [None] + [1.0] * 63), (905, [float("inf")] * 64), (906, [1.0, 2.0]), (907, [2.0, 4.0])]
-    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>")
+    df = spark.createDataFrame([(i, v, 1, "c") for i, v in rows + bad], "vec_id long, embedding array<float>, key int, code string")
     got = {r.vec_id: r for r in near_duplicates(df, block=16).collect()}
     want = near.sum(1) - 1
     found = np.array([got[i].n_links for i in range(len(x))])
-    assert (found <= want).all() and found.sum() >= 0.95 * want.sum()
+    assert (found <= want).all() and found.sum() >= 0.98 * want.sum()
     assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in range(900, 906))
     assert got[906].n_links == got[907].n_links == 1 and got[907].component_id == 906 and not got[907].kept
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_estimates_are_unbiased_and_bounded():
+    """Over random rotations the mean estimate is the cosine, and the bound holds."""
+    from fernwell.llm.embeddings import encode, estimate, in_bytes, rotations, unit
+
+    rng = np.random.default_rng(8)
+    dim, checked, n = 64, 2, 4000
+    x = unit(rng.normal(size=(n, dim)))
+    for cos in (0.5, 0.9):
+        z = rng.normal(size=(n, dim))
+        z = unit(z - (z * x).sum(1, keepdims=True) * x)
+        both = np.concatenate((x, cos * x + np.sqrt(1 - cos * cos) * z))
+        bits, factor = encode(both, checked)
+        small, step = in_bytes(both)
+        code = bits.reshape(2 * n, checked, dim).astype(np.float32) * 2 - 1
+        turned = ((small * step[:, None]).astype(np.float32) @ rotations(dim, checked)).reshape(2 * n, checked, dim)
+        est, half = estimate(code, factor, turned, step, np.arange(n), np.arange(n) + n)
+        assert abs(est.mean() - cos) < 0.005 and (abs(est - cos) <= half).mean() > 0.999
+
+
 def test_table_plan_grows_slowly():
     assert plan_tables(10**4, 0.9, 0.98)[1] < plan_tables(10**6, 0.9, 0.98)[1] < 200
