@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import importlib
 import pkgutil
+import re
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from . import operators as _operators
@@ -19,8 +21,10 @@ NATIVE_SQL: dict[str, str] = {}
 def _load() -> None:
     for package in (_operators,):
         for m in pkgutil.iter_modules(package.__path__):
-            importlib.import_module(f"{package.__name__}.{m.name}")
-    for name in ("fernwell.streaming.events", "fernwell.functions.text_columns", "fernwell.sources.registry"):
+            found = importlib.import_module(f"{package.__name__}.{m.name}")
+            NATIVE.update(getattr(found, "QUERIES", {}))
+            NATIVE_SQL.update(getattr(found, "ORACLE", {}))
+    for name in ("fernwell.streaming.events", "fernwell.functions.text_columns", "fernwell.functions.markup", "fernwell.sources.registry"):
         m = importlib.import_module(name)
         NATIVE.update(getattr(m, "QUERIES", {}))
         NATIVE_SQL.update(getattr(m, "ORACLE", {}))
@@ -52,18 +56,25 @@ def bind(spark: SparkSession, select: str, frames: dict[str, DataFrame]) -> Data
 
 
 def run(spark: SparkSession, sf_dir: str, key: str, **params) -> DataFrame:  # noqa: ANN003
-    op = OPERATORS[key]
-    return bind(spark, op.sql(SPARK, **params), {n: relation(spark, sf_dir, n) for n in op.relations})
+    return run_on(spark, key, {n: relation(spark, sf_dir, n) for n in OPERATORS[key].relations}, **params)
 
 
 def run_on(spark: SparkSession, key: str, frames: dict[str, DataFrame], **params) -> DataFrame:  # noqa: ANN003
     """An operator on relations of the caller (protocols, reagents, ...)."""
-    return bind(spark, OPERATORS[key].sql(SPARK, **params), frames)
+    op = OPERATORS[key]
+    frames = dict(frames)
+    for name, plan in op.steps.items():
+        frames[name] = bind(spark, plan(SPARK, **(op.params | params)), frames).persist(StorageLevel.MEMORY_AND_DISK)
+    if op.steps:  # a kept result reads its relations by itself
+        used = op.sql(SPARK, **params)
+        frames = {n: f for n, f in frames.items() if re.search(rf"\b{n}\b", used)}
+    return bind(spark, op.sql(SPARK, **params), frames)
 
 
 def oracle(key: str) -> str:
     op = OPERATORS[key]
     shaped = [f"{n} AS ({SHAPES[n][1].strip()})" for n in op.relations if n in SHAPES]
+    shaped += [f"{n} AS ({plan(DUCKDB, **op.params).strip()})" for n, plan in op.steps.items()]
     body = op.sql(DUCKDB).strip()
     if body[:5].upper() == "WITH ":
         recursive = body[5:].lstrip().upper().startswith("RECURSIVE")

@@ -1,16 +1,17 @@
 """Column functions for texts and units, and the operators that need a scan position by position.
 
-Everything but T09 (positions of citations) and T01 (markup to sections) is built-in expressions."""
+Everything but the scan of raw pages is built-in expressions."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .vocabulary import ACTIVITY_UNIT, MASS_UNIT, MOLAR
+
 # Greek letters that names are folded to.
 GREEK = {"α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "κ": "kappa", "μ": "mu", "µ": "mu"}
 
@@ -38,18 +39,20 @@ def snippet(c: Column, n: int) -> Column:
 
 
 def canonical_unit(c: Column) -> Column:
-    """Micro signs folded, mass, activity and molar units in one spelling, else the trimmed text."""
-    u = F.regexp_replace(F.translate(F.trim(c), "µμ−", "uu-"), r"\s+", "")
-    low = F.lower(u)
-    mass = F.regexp_extract(low, r"^([munp]?g)(?:/|\.)?m(?:l|illiliter)(?:-1|\^-1)?$", 1)
-    act = F.regexp_extract(low, r"^(i?u)/ml$", 1)
-    molar = F.regexp_extract(u, r"^([munp]?)(?:M|mol/[lL])$", 1)
+    """One spelling for units of concentration, else the text with micro signs and dashes folded."""
+    s = F.translate(F.trim(c), "µμ−", "uu-")
+    low = F.lower(s)
+    bare = F.replace(low, F.lit(" "), F.lit(""))
+    known = lambda x, table: F.coalesce(*[F.when(x == k, F.lit(v)) for k, v in table.items()])
+    part = lambda p, k: F.regexp_extract(low, p, k)
+    mass = F.concat(part(MASS_UNIT, 1), F.lit("/"), known(part(MASS_UNIT, 2), {"ml": "mL", "ul": "uL", "l": "L"}))
     return (
-        F.when(mass != "", F.concat(mass, F.lit("/mL")))
-        .when(act != "", F.lit("U/mL"))
-        .when(u.rlike(r"^[munp]?(?:M|mol/[lL])$"), F.concat(molar, F.lit("M")))
-        .when(low.rlike(r"^%"), F.lit("%"))
-        .otherwise(F.trim(c))
+        F.when(c.isNull() | (c == ""), F.lit(None))
+        .when(low.rlike(MASS_UNIT), mass)
+        .when(low.rlike(ACTIVITY_UNIT), known(part(ACTIVITY_UNIT, 1), {"u": "U/mL", "mu": "mU/mL", "iu": "IU/mL", "kiu": "kIU/mL"}))
+        .when(known(bare, MOLAR).isNotNull(), known(bare, MOLAR))
+        .when(F.contains(s, F.lit("%")) | bare.isin("v/v", "w/v", "vv", "wv"), F.lit("%"))
+        .otherwise(s)
     )
 
 
@@ -99,25 +102,6 @@ def page_sections(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", parse("html").alias("s")).select("page_id", "s.*")
 
 
-_DELEGATED = re.compile(r"as (?:previously )?described|according to|following the (?:method|protocol) of", re.I)
-
-
-def delegations(documents: DataFrame, before: int = 70, after: int = 120) -> DataFrame:
-    """doc_id, position, context of the first phrase that hands the method to another text (T09)."""
-
-    @F.pandas_udf("struct<position: long, context: string>")
-    def find(texts):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        rows = []
-        for t in texts.fillna(""):
-            m = _DELEGATED.search(t)
-            rows.append((m.start(), t[max(0, m.start() - before) : m.end() + after]) if m else (None, None))
-        return pd.DataFrame(rows, columns=["position", "context"])
-
-    return documents.select("doc_id", find("text").alias("d")).where("d.position IS NOT NULL").select("doc_id", "d.*")
-
-
 def greedy_intervals(spans: DataFrame) -> DataFrame:
     """key, starts: non-overlapping spans taken in order, each after the end of the last taken; a
     fold over the sorted array of a key (W13)."""
@@ -147,7 +131,6 @@ def _quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "t01_page_sections": lambda s, d: page_sections(s.read.parquet(f"{d}/pages.parquet")),
-    "t09_delegations": lambda s, d: delegations(s.read.parquet(f"{d}/documents.parquet")),
     "w13_greedy_intervals": _spans,
     "x16_value_in_quote": _quotes,
 }

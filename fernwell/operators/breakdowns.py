@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ..plans.dialect import Dialect, operator, q, rate
+from ..functions.vocabulary import BASE_MEDIA, MATRICES, SOURCE_CELLS, SPECIES
+from ..plans.dialect import SPARK, Dialect, operator, q, rate
 
 # The four missingness rules of the reports, kept apart on purpose.
 M1_UNREPORTED = ("", "not_stated", "not_reported")
@@ -45,19 +46,21 @@ def _breakdown(column: str, folded: str):  # noqa: ANN202
     def plan(d: Dialect) -> str:
         return f"""
 SELECT CASE WHEN grouping(t) = 1 THEN 'cross' ELSE 'type' END AS level, coalesce(t, '*') AS organoid_type, v AS value, count(*) AS n
-FROM (SELECT organoid_type AS t, {folded} AS v FROM protocols WHERE {typed()} AND {reported(column)}) x
+FROM (SELECT organoid_type AS t, {folded} AS v FROM manuscripts WHERE {typed()} AND {reported(column)}) x
 GROUP BY GROUPING SETS ((t, v), (v))"""
 
     return plan
 
 
 for _key, _column, _folded in (
-    ("a20_species_breakdown", "species", "lower(trim(species))"),
-    ("a21_matrix_breakdown", "matrix", "trim(matrix)"),
-    ("a22_base_media_breakdown", "base_media", "trim(base_media)"),
-    ("a23_source_cell_breakdown", "source_cell_type", "trim(source_cell_type)"),
+    ("a20_species_breakdown", "species", SPECIES),
+    ("a21_matrix_breakdown", "matrix", MATRICES),
+    ("a22_base_media_breakdown", "base_media", BASE_MEDIA),
+    ("a23_source_cell_breakdown", "source_cell_type", SOURCE_CELLS),
 ):
-    operator(_key, "protocols")(_breakdown(_column, _folded))
+    # the display value of a known spelling; of others the text itself, of a species in lower case
+    _raw = "lower(trim(species))" if _column == "species" else f"trim({_column})"
+    operator(_key, "manuscripts")(_breakdown(_column, SPARK.lookup(f"lower(trim({_column}))", _folded, _raw)))
 
 
 @operator("a17_type_timeseries", "protocols")
@@ -186,12 +189,13 @@ def type_maturity(d: Dialect) -> str:
     return f"""
 SELECT organoid_type, min(year) AS first_year, max(year) AS last_year, max(year) - min(year) + 1 AS n_years_active,
   sum(n) AS n_papers_total,
-  CASE WHEN count(*) < 4 THEN 'insufficient' WHEN avg(CASE WHEN rn > half THEN n END) > 1.3 * avg(CASE WHEN rn <= half THEN n END) THEN 'growing'
-    WHEN avg(CASE WHEN rn > half THEN n END) < 0.75 * avg(CASE WHEN rn <= half THEN n END) THEN 'declining' ELSE 'stable' END AS trajectory,
+  CASE WHEN count(*) < 4 THEN 'insufficient_data' WHEN avg(CASE WHEN rn > half THEN n END) > 1.3 * avg(CASE WHEN rn <= half THEN n END) THEN 'accelerating'
+    WHEN avg(CASE WHEN rn > half THEN n END) < 0.75 * avg(CASE WHEN rn <= half THEN n END) THEN 'slowing' ELSE 'stable' END AS trajectory,
   CASE WHEN sum(n) >= 50 OR min(year) <= 2017 THEN 'established' WHEN sum(n) >= 20 OR min(year) <= 2021 THEN 'developing' ELSE 'emerging' END AS maturity_tier
 FROM (SELECT *, row_number() OVER (PARTITION BY organoid_type ORDER BY year) AS rn,
     floor(count(*) OVER (PARTITION BY organoid_type) / 2) AS half
-  FROM (SELECT organoid_type, year, count(*) AS n FROM protocols WHERE year IS NOT NULL AND organoid_type IS NOT NULL GROUP BY organoid_type, year) x) y
+  FROM (SELECT coalesce(nullif(trim(organoid_type), ''), 'unknown') AS organoid_type, year, count(*) AS n FROM protocols WHERE year IS NOT NULL
+    GROUP BY coalesce(nullif(trim(organoid_type), ''), 'unknown'), year) x) y
 GROUP BY organoid_type"""
 
 

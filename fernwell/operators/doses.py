@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
+from ..functions.vocabulary import ACTIVITY_UNIT, BARE_VOLUME, BODY_DOSE, EXTRACTED_UNITS, MASS_UNIT, MOLAR, UCUM
 from ..plans.dialect import Dialect, operator, q, rate
 
 UNIT = "coalesce(nullif(trim(canonical_unit), ''), nullif(trim(unit), ''), 'unknown')"
-# Units of concentration and their UCUM codes.
-UCUM = {"ng/mL": "ng/mL", "ug/mL": "ug/mL", "mg/mL": "mg/mL", "pg/mL": "pg/mL", "uM": "umol/L", "nM": "nmol/L", "mM": "mmol/L", "M": "mol/L", "U/mL": "U/mL", "%": "%"}
+
+
+def canonical_unit(d: Dialect, unit: str) -> str:
+    """One spelling for units of concentration, else the text with micro signs and dashes folded."""
+    s = f"translate(trim({unit}), 'μµ−', 'uu-')"
+    low = f"lower({s})"
+    bare = f"replace({low}, ' ', '')"
+    part = lambda p, k: f"regexp_extract({low}, {d.pattern(p)}, {k})"
+    mass = f"concat({part(MASS_UNIT, 1)}, '/', {d.lookup(part(MASS_UNIT, 2), {'ml': 'mL', 'ul': 'uL', 'l': 'L'})})"
+    activity = d.lookup(part(ACTIVITY_UNIT, 1), {"u": "U/mL", "mu": "mU/mL", "iu": "IU/mL", "kiu": "kIU/mL"})
+    return f"""CASE WHEN {unit} IS NULL OR {unit} = '' THEN NULL WHEN {d.matches(low, MASS_UNIT)} THEN {mass} WHEN {d.matches(low, ACTIVITY_UNIT)} THEN {activity}
+  WHEN {d.lookup(bare, MOLAR)} IS NOT NULL THEN {d.lookup(bare, MOLAR)} WHEN position('%' IN {s}) > 0 OR {bare} IN ('v/v', 'w/v', 'vv', 'wv') THEN '%' ELSE {s} END"""
+
+
+def concentration_class(d: Dialect, unit: str) -> str:
+    """missing, in_vivo_dose, volume, percent, concentration or other, the first that holds."""
+    known = ", ".join(f"'{u}'" for u in UCUM)
+    return f"""CASE WHEN {unit} IS NULL OR trim({unit}) = '' THEN 'missing' WHEN {d.matches(f'trim({unit})', BODY_DOSE)} THEN 'in_vivo_dose'
+  WHEN {d.matches(f"lower(translate(trim({unit}), 'μµ−', 'uu-'))", BARE_VOLUME)} THEN 'volume' WHEN position('%' IN {unit}) > 0 THEN 'percent'
+  WHEN {canonical_unit(d, unit)} IN ({known}) THEN 'concentration' ELSE 'other' END"""
 
 
 @operator("a61_within_type_dose_range", "reagents", min_n=3)
@@ -126,19 +145,20 @@ SELECT pmcid, canonical, unit_c AS canonical_unit, value, {q('med')} AS median,
 WHERE value / med > 10 OR value / med < 1e-1"""
 
 
-def concentration_class(unit: str) -> str:
-    return (
-        f"CASE WHEN {unit} IS NULL OR trim({unit}) = '' THEN 'missing' WHEN lower({unit}) LIKE '%/kg' THEN 'in_vivo_dose'"
-        f" WHEN lower({unit}) IN ('ml', 'ul', 'l') THEN 'volume' WHEN {unit} LIKE '%\\%%' ESCAPE '\\' THEN 'percent'"
-        f" WHEN {unit} IN ({', '.join(repr(u) for u in UCUM if u != '%')}) THEN 'concentration' ELSE 'other' END"
-    )
-
-
-@operator("b09_unit_audit", "reagents")
+@operator("b09_unit_audit", "mentions")
 def unit_audit(d: Dialect) -> str:
-    klass = concentration_class("canonical_unit").replace("'%\\%%' ESCAPE '\\'", "'%|%%' ESCAPE '|'")
-    code = "CASE canonical_unit " + " ".join(f"WHEN '{u}' THEN '{c}'" for u, c in UCUM.items()) + " END"
+    """Validity class, canonical unit and UCUM code of the units of dosed mentions; all classes but
+    `concentration` and `missing` are suspect."""
+    klass, code = concentration_class(d, "unit"), d.lookup("canonical", UCUM)
     return f"""
-SELECT {klass} AS class, coalesce(canonical_unit, 'none') AS unit, coalesce({code}, 'none') AS ucum, count(*) AS n, sum(suspect_unit) AS n_suspect,
-  {rate(f'count({code})', 'count(*)')} AS ucum_rate
-FROM reagents WHERE value IS NOT NULL GROUP BY {klass}, coalesce(canonical_unit, 'none'), coalesce({code}, 'none')"""
+SELECT class, canonical AS unit, ucum, count(*) AS n, sum(CASE WHEN class IN ('in_vivo_dose', 'volume', 'percent', 'other') THEN 1 ELSE 0 END) AS n_suspect,
+  {rate('count(ucum)', 'count(*)')} AS ucum_rate
+FROM (SELECT class, canonical, {code} AS ucum FROM (SELECT {klass} AS class, {canonical_unit(d, 'unit')} AS canonical FROM mentions WHERE value IS NOT NULL) x) y
+GROUP BY class, canonical, ucum"""
+
+
+@operator("x04_canonical_unit", "mentions")
+def canonical_units(d: Dialect) -> str:
+    """Units as written, their canonical form, and what the extraction step alone would fold."""
+    folded = d.lookup("lower(trim(unit))", EXTRACTED_UNITS, "trim(unit)")
+    return f"SELECT unit, {canonical_unit(d, 'unit')} AS canonical, {folded} AS extracted, count(*) AS n FROM mentions GROUP BY unit, {canonical_unit(d, 'unit')}, {folded}"

@@ -77,8 +77,9 @@ def model_bakeoff(d: Dialect) -> str:
 
 @operator("e11_grounded_comparison", "reagents")
 def grounded_comparison(d: Dialect) -> str:
-    return f"""SELECT organoid_type, {d.joined_set("concat(canonical, ': ', substring(evidence_quote, 1, 60))", ' | ')} AS citations, count(*) AS n
-FROM reagents WHERE kind = 'signaling' AND grounded = 1 GROUP BY organoid_type"""
+    """Factors by type, each with the first 60 characters of a quote."""
+    return """SELECT organoid_type, canonical, substring(min(evidence_quote), 1, 60) AS citation, count(*) AS n
+FROM reagents WHERE kind = 'signaling' AND grounded = 1 GROUP BY organoid_type, canonical"""
 
 
 @operator("j13_stage_overlap", "conversations")
@@ -94,10 +95,18 @@ WHERE CAST(greatest(0, {hi} - {lo}) AS DOUBLE) / nullif(greatest(a.e, b.e) - lea
 
 @operator("j14_verbatim_grounding", "documents", "benchmark")
 def verbatim_grounding(d: Dialect) -> str:
-    """Quotes that stand verbatim in a source text; the quotes are a list small enough to broadcast."""
-    hint = "/*+ BROADCAST(b) */ " if d.spark else ""
-    return f"""SELECT {hint}d.doc_id, b.item_id, CAST(position(b.text IN d.text) AS BIGINT) AS at
-FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE length(b.text) > 0"""
+    """Quotes of three words or more that stand verbatim in a source text. A quote's longest word
+    between its first and its last one is a word of each text that holds it: texts and quotes meet
+    by that word, and the whole quote is looked up in what meets."""
+    found = "d.doc_id, b.item_id, CAST(position(b.text IN d.text) AS BIGINT) AS at"
+    if not d.spark:
+        return f"SELECT {found} FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE len(string_split(b.text, ' ')) >= 3"
+    return f"""
+WITH quotes AS (SELECT item_id, text, array_max(transform(slice(split(text, ' '), 2, size(split(text, ' ')) - 2), w -> struct(length(w) AS n, w))).w AS word
+  FROM benchmark WHERE size(split(text, ' ')) >= 3),
+met AS (SELECT w.doc_id, q.item_id, q.text AS quote FROM (SELECT DISTINCT doc_id, word FROM documents LATERAL VIEW explode(array_distinct(split(text, ' '))) t AS word) w
+  JOIN quotes q ON q.word = w.word)
+SELECT {found} FROM documents d JOIN (SELECT doc_id, item_id, quote AS text FROM met) b ON b.doc_id = d.doc_id WHERE contains(d.text, b.text)"""
 
 
 @operator("t02_bundle_summary", "documents")
@@ -123,16 +132,6 @@ def prediction_validation(d: Dialect) -> str:
     return f"SELECT message, count(*) AS n, min(pmcid) AS example FROM ({rows}) x GROUP BY message"
 
 
-@operator("x04_canonical_unit", "reagents")
-def canonical_unit_counts(d: Dialect) -> str:
-    """Units folded to their canonical form and code."""
-    from .doses import UCUM
-
-    u = "CASE unit WHEN 'A' THEN 'ng/mL' WHEN 'N' THEN 'uM' ELSE unit END"
-    code = f"CASE {u} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in UCUM.items()) + " ELSE 'unknown' END"
-    return f"SELECT {u} AS folded, {code} AS ucum, count(*) AS n FROM reagents GROUP BY {u}, {code}"
-
-
 @operator("x13_slugs", "part")
 def slugs(d: Dialect) -> str:
     key = d.sub("lower(p_name)", "[^a-z0-9]", "")
@@ -140,11 +139,23 @@ def slugs(d: Dialect) -> str:
     return f"SELECT {key} AS norm_key, {slug} AS slug, count(*) AS n FROM part GROUP BY {key}, {slug}"
 
 
-@operator("o06_token_jaccard", "part")
-def token_jaccard(d: Dialect) -> str:
-    """Jaccard of the words of names that share a word: an inverted join, no pairs of all names."""
+@operator("o06_token_jaccard", "part", least=0.3)
+def token_jaccard(d: Dialect, least: float) -> str:
+    """Pairs of names whose words agree by a share. Two such names share one of the rarest words of
+    each: of n words, the first n - ceil(least * n) + 1 in the order of frequency. Names meet by
+    these words alone, so that common words are never squared."""
     w = "explode(split(p_name, ' ')) AS w" if d.spark else "unnest(string_split(p_name, ' ')) AS w"
+    words = f"SELECT DISTINCT p_name, w FROM (SELECT p_name, {w} FROM (SELECT DISTINCT p_name FROM part) n) x"
+    if not d.spark:
+        return f"""
+WITH t AS ({words}), s AS (SELECT p_name, count(*) AS n FROM t GROUP BY p_name),
+c AS (SELECT a.p_name AS na, b.p_name AS nb, count(*) AS k FROM t a JOIN t b ON a.w = b.w AND a.p_name < b.p_name GROUP BY a.p_name, b.p_name)
+SELECT na AS name_a, nb AS name_b, {q('CAST(k AS DOUBLE) / (x.n + y.n - k)')} AS jaccard FROM c JOIN s x ON x.p_name = na JOIN s y ON y.p_name = nb
+WHERE CAST(k AS DOUBLE) / (x.n + y.n - k) >= {least}"""
     return f"""
-WITH n AS (SELECT DISTINCT p_name FROM part), t AS (SELECT DISTINCT p_name, w FROM (SELECT p_name, {w} FROM n) x), s AS (SELECT p_name, count(*) AS n FROM t GROUP BY p_name)
-SELECT a.p_name AS name_a, b.p_name AS name_b, {q('CAST(count(*) AS DOUBLE) / (max(x.n) + max(y.n) - count(*))')} AS jaccard
-FROM t a JOIN t b ON a.w = b.w AND a.p_name < b.p_name JOIN s x ON x.p_name = a.p_name JOIN s y ON y.p_name = b.p_name GROUP BY a.p_name, b.p_name"""
+WITH t AS ({words}), f AS (SELECT w, count(*) AS f FROM t GROUP BY w),
+named AS (SELECT t.p_name, array_sort(collect_list(struct(f.f AS f, t.w AS w))) AS ws FROM t JOIN f ON f.w = t.w GROUP BY t.p_name),
+rare AS (SELECT p_name, transform(ws, x -> x.w) AS ws, x.w AS w FROM named LATERAL VIEW explode(slice(ws, 1, size(ws) - CAST(ceil({least} * size(ws)) AS INT) + 1)) e AS x),
+met AS (SELECT DISTINCT a.p_name AS na, b.p_name AS nb, a.ws AS wa, b.ws AS wb FROM rare a JOIN rare b ON a.w = b.w AND a.p_name < b.p_name)
+SELECT na AS name_a, nb AS name_b, {q('CAST(k AS DOUBLE) / n')} AS jaccard FROM (
+  SELECT na, nb, size(array_intersect(wa, wb)) AS k, size(array_union(wa, wb)) AS n FROM met) m WHERE CAST(k AS DOUBLE) / n >= {least}"""

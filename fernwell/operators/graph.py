@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from ..plans.dialect import Dialect, operator, text
+from ..plans.shape import SHAPES
+from ..session import stash
 
 
 @operator("k01_kgx_nodes", "kg_nodes")
@@ -88,14 +93,48 @@ deg AS (SELECT node, sum(i) AS in_degree, sum(o) AS out_degree FROM (SELECT sour
 SELECT node, CAST(in_degree AS BIGINT) AS in_degree, CAST(out_degree AS BIGINT) AS out_degree, CASE WHEN in_degree = 0 AND out_degree > 0 THEN 1 ELSE 0 END AS is_root FROM deg"""
 
 
-@operator("b02b_lineage_reach", "lineage")
-def lineage_reach(d: Dialect) -> str:
-    """Nodes reachable from each root and how many steps away."""
-    return """
-WITH RECURSIVE e AS (SELECT DISTINCT cited AS a, source AS b FROM lineage),
-walk AS (SELECT DISTINCT a AS root, a AS node, 0 AS depth FROM e WHERE a NOT IN (SELECT b FROM e)
-  UNION ALL SELECT w.root, e.b, w.depth + 1 FROM walk w JOIN e ON e.a = w.node)
-SELECT root, count(DISTINCT node) - 1 AS n_reached, max(depth) AS max_depth FROM walk GROUP BY root"""
+def lineage_reach(lineage: DataFrame) -> DataFrame:
+    """Nodes reachable from each root, and the most steps that the shortest way to one of them takes.
+
+    Breadth first: a step joins the last step's nodes with the edges and leaves out what was reached
+    before, so that cycles end, and a node is held once for a root however many ways lead to it.
+    Each step's nodes are written to the shared folder; the number of steps is that of the longest
+    shortest way."""
+    e = stash(lineage.select(F.col("cited").alias("a"), F.col("source").alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct(), "edges")
+    roots = e.select("a").distinct().join(e.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+    front = stash(roots.select(F.col("a").alias("root"), F.col("a").alias("node"), F.lit(0).alias("depth")), "reach")
+    steps = [front]
+    while not front.isEmpty():
+        seen = steps[0].select("root", "node")
+        for s in steps[1:]:
+            seen = seen.unionByName(s.select("root", "node"))
+        found = front.join(e, F.col("node") == F.col("a")).select("root", F.col("b").alias("node"), (F.col("depth") + 1).alias("depth")).distinct()
+        front = stash(found.join(seen, ["root", "node"], "left_anti"), "reach")
+        steps.append(front)
+        if len(steps) == 16:  # few tables, whatever the number of steps
+            whole = steps[0]
+            for s in steps[1:]:
+                whole = whole.unionByName(s)
+            steps = [stash(whole, "reach")]
+    reached = steps[0]
+    for s in steps[1:]:
+        reached = reached.unionByName(s)
+    return reached.groupBy("root").agg((F.count("*") - 1).alias("n_reached"), F.max("depth").alias("max_depth"))
+
+
+def _reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..catalog import relation
+
+    return lineage_reach(relation(spark, sf_dir, "lineage"))
+
+
+QUERIES = {"b02b_lineage_reach": _reach}
+ORACLE = {
+    "b02b_lineage_reach": f"""
+WITH RECURSIVE lineage AS ({SHAPES['lineage'][1].strip()}), e AS (SELECT DISTINCT cited AS a, source AS b FROM lineage),
+walk AS (SELECT DISTINCT a AS root, a AS node, 0 AS depth FROM e WHERE a NOT IN (SELECT b FROM e) UNION SELECT w.root, e.b, w.depth + 1 FROM walk w JOIN e ON e.a = w.node)
+SELECT root, count(*) - 1 AS n_reached, max(depth) AS max_depth FROM (SELECT root, node, min(depth) AS depth FROM walk GROUP BY root, node) x GROUP BY root"""
+}
 
 
 @operator("s19_lineage_dot", "lineage", oracle=True)

@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 from ..plans.dialect import Dialect, operator, q, rate, text
+from ..functions.vocabulary import ASSAY_CLUSTERS, COUNT_FIELDS, FAILURE_CLUSTERS, REPORTING_ITEMS
 from .breakdowns import has_field, three_state, truthy, typed
 
-# Clusters of assay terms, as patterns on the lower-case term.
-ASSAY_CLUSTERS = {"gene_expression": "pcr|rna|sequenc|transcript", "imaging": "imag|microscop|stain|confocal", "flow_cytometry": "flow|facs|cytometr",
-                  "barrier": "teer|permeab|barrier", "viability": "viab|apopto|ldh|mtt"}
-# Clusters of failure descriptions.
-FAILURE_CLUSTERS = {"junk_text": "!!|[|]|\\$\\$|###", "license_text": "license", "contact_data": "@", "secret": "token ="}
 
 
 @operator("a27_grounding_quality", "reagents")
@@ -67,26 +63,55 @@ SELECT organoid_type, n_papers, avg_grounding_rate, pooled_grounding_rate, rate_
     FROM protocols WHERE {typed()} GROUP BY organoid_type) x) y"""
 
 
-@operator("b05_assay_endpoints", "protocols")
+def labels_of(d: Dialect, x: str, clusters: dict[str, str]) -> str:
+    """An array of the clusters whose pattern a lower-case text has, `other` where none has one."""
+    made = ", ".join(f"CASE WHEN {d.matches(x, p)} THEN '{n}' END" for n, p in clusters.items())
+    if d.spark:
+        return f"CASE WHEN size(array_compact(array({made}))) > 0 THEN array_compact(array({made})) ELSE array('other') END"
+    return f"CASE WHEN len(list_filter([{made}], lambda z: z IS NOT NULL)) > 0 THEN list_filter([{made}], lambda z: z IS NOT NULL) ELSE ['other'] END"
+
+
+def _exploded(d: Dialect, array: str, name: str) -> str:
+    return f"explode({array}) AS {name}" if d.spark else f"unnest({array}) AS {name}"
+
+
+TERM_BREAK = r"\s*[·•,;/]\s*"
+
+
+@operator("b05_assay_endpoints", "manuscripts")
 def assay_endpoints(d: Dialect) -> str:
-    cluster = "CASE " + " ".join(f"WHEN {d.matches('term', p)} THEN '{n}'" for n, p in ASSAY_CLUSTERS.items()) + " ELSE 'other' END"
+    """Papers of each cluster of assay terms, in all and by type, and the share of the papers that
+    report any; a term may be of several clusters."""
+    return f"""
+WITH terms AS (SELECT pmcid, organoid_type, trim(lower(item)) AS term FROM manuscripts {d.parts('assay_endpoints', TERM_BREAK)}),
+found AS (SELECT pmcid, organoid_type, {_exploded(d, labels_of(d, 'term', ASSAY_CLUSTERS), 'cluster')} FROM terms WHERE term <> ''),
+total AS (SELECT coalesce(organoid_type, '?') AS t, grouping(organoid_type) AS overall, count(DISTINCT pmcid) AS n FROM terms WHERE term <> '' GROUP BY GROUPING SETS ((organoid_type), ()))
+SELECT x.level, x.t AS organoid_type, x.cluster, x.n_papers, {rate('x.n_papers', 'total.n')} AS fraction FROM (
+  SELECT CASE WHEN grouping(organoid_type) = 1 THEN 'cross' ELSE 'type' END AS level, grouping(organoid_type) AS overall, coalesce(organoid_type, '?') AS t, cluster, count(DISTINCT pmcid) AS n_papers
+  FROM found GROUP BY GROUPING SETS ((organoid_type, cluster), (cluster))) x JOIN total ON total.t = x.t AND total.overall = x.overall"""
+
+
+@operator("b05_assay_terms", "manuscripts", k=30)
+def assay_terms(d: Dialect, k: int) -> str:
+    """The raw terms that most papers have."""
     return f"""
-SELECT CASE WHEN grouping(organoid_type) = 1 THEN 'cross' ELSE 'type' END AS level, coalesce(organoid_type, '*') AS organoid_type, cluster, count(DISTINCT pmcid) AS n_papers FROM (
-  SELECT pmcid, organoid_type, {cluster} AS cluster FROM (
-    SELECT pmcid, organoid_type, trim(lower(item)) AS term FROM protocols {d.parts('assay_endpoints', ' *[;,/] *')}) t WHERE term <> '') x
-GROUP BY GROUPING SETS ((organoid_type, cluster), (cluster))"""
+SELECT term, count(DISTINCT pmcid) AS n_papers FROM (SELECT pmcid, trim(lower(item)) AS term FROM manuscripts {d.parts('assay_endpoints', TERM_BREAK)}) t
+WHERE term <> '' GROUP BY term ORDER BY n_papers DESC, term LIMIT {k}"""
 
 
 def _quality() -> str:
-    parts = [q(f"CASE WHEN {has_field(c)} THEN 1e0 ELSE 0e0 END") for c in ("base_media", "matrix", "passaging")]
+    """Five components of at most 1: grounded share, reagents of five, a quarter for each part of the
+    context, whether assays are reported, and figure-confirmed reagents of three."""
+    context = " + ".join(f"CASE WHEN {has_field(c)} THEN 25e-2 ELSE 0e0 END" for c in ("timeline", "base_media", "matrix", "passaging"))
     return f"""
-SELECT pmcid, organoid_type, {q('coalesce(grounding_rate, 0)')} AS grounding, {parts[0]} AS media, {parts[1]} AS matrix_score, {parts[2]} AS passaging_score,
-  {q('least(1e0, n_signaling_factors / 3e0)')} AS factors FROM protocols"""
+SELECT pmcid, organoid_type, {q('greatest(0e0, least(1e0, coalesce(grounding_rate, 0)))')} AS grounding_quality, {q('least(coalesce(reagents_total, 0) / 5e0, 1e0)')} AS reagent_coverage,
+  {q(context)} AS context_richness, CASE WHEN {has_field('assay_endpoints')} THEN 1e0 ELSE 0e0 END AS assay_coverage,
+  {q('least(coalesce(n_figure_confirmed, 0) / 3e0, 1e0)')} AS figure_support FROM protocols"""
 
 
 @operator("b06_quality_score", "protocols")
 def quality_score(d: Dialect) -> str:
-    score = q("(grounding + media + matrix_score + passaging_score + factors) / 5")
+    score = q("(grounding_quality + reagent_coverage + context_richness + assay_coverage + figure_support) / 5")
     return f"""
 SELECT *, CASE WHEN score >= 0.80 THEN 'gold' WHEN score >= 0.55 THEN 'silver' ELSE 'bronze' END AS tier FROM (SELECT *, {score} AS score FROM ({_quality()}) x) y"""
 
@@ -96,16 +121,33 @@ def quality_tiers(d: Dialect) -> str:
     return f"SELECT organoid_type, tier, count(*) AS n, {q('avg(score)')} AS mean_score FROM ({quality_score(d)}) s GROUP BY organoid_type, tier"
 
 
-_MIOR = {"cell": ("source_cell_type", "species"), "matrix": ("matrix",), "media": ("base_media",), "culture": ("passaging", "timeline"), "readout": ("assay_endpoints",)}
+def item_state(c: str) -> str:
+    """M4; counts are present above 0, the grounding rate from 0 on."""
+    if c in COUNT_FIELDS:
+        return f"CASE WHEN {c} IS NULL THEN 'not_extracted' WHEN {c} > 0 THEN 'present' ELSE 'not_reported' END"
+    if c == "grounding_rate":
+        return f"CASE WHEN {c} IS NULL OR {c} < 0 THEN 'not_extracted' ELSE 'present' END"
+    return three_state(c)
+
+
+@operator("b07_mior_papers", "protocols")
+def mior_papers(d: Dialect) -> str:
+    """Completeness of each paper over the twelve items, and over the required ones."""
+    n = lambda state, need: " + ".join(f"CASE WHEN {item_state(c)} = '{state}' THEN 1 ELSE 0 END" for _, _, c, r in REPORTING_ITEMS if r or not need)
+    return f"""
+SELECT pmcid, n_present, n_not_reported, {len(REPORTING_ITEMS)} - n_present - n_not_reported AS n_not_extracted,
+  CASE WHEN n_present + n_not_reported > 0 THEN {q('CAST(n_present AS DOUBLE) / (n_present + n_not_reported)')} END AS mior_completeness,
+  CASE WHEN rp + rn > 0 THEN {q('CAST(rp AS DOUBLE) / (rp + rn)')} END AS required_completeness
+FROM (SELECT pmcid, {n('present', 0)} AS n_present, {n('not_reported', 0)} AS n_not_reported, {n('present', 1)} AS rp, {n('not_reported', 1)} AS rn FROM protocols) x"""
 
 
 @operator("b07_mior", "protocols")
 def mior(d: Dialect) -> str:
-    items = [(m, c) for m, cs in _MIOR.items() for c in cs]
+    items = [(m, c) for m, _, c, _ in REPORTING_ITEMS]
     if d.spark:
-        src = f"SELECT organoid_type, stack({len(items)}, {', '.join(f'{m!r}, {c!r}, {three_state(c)}' for m, c in items)}) AS (module, field, state) FROM protocols"
+        src = f"SELECT organoid_type, stack({len(items)}, {', '.join(f'{m!r}, {c!r}, {item_state(c)}' for m, c in items)}) AS (module, field, state) FROM protocols"
     else:
-        src = " UNION ALL ".join(f"SELECT organoid_type, '{m}' AS module, '{c}' AS field, {three_state(c)} AS state FROM protocols" for m, c in items)
+        src = " UNION ALL ".join(f"SELECT organoid_type, '{m}' AS module, '{c}' AS field, {item_state(c)} AS state FROM protocols" for m, c in items)
     p, r = (f"sum(CASE WHEN state = '{s}' THEN 1 ELSE 0 END)" for s in ("present", "not_reported"))
     return f"""
 SELECT organoid_type, module, field, {p} AS n_present, {r} AS n_not_reported, sum(CASE WHEN state = 'not_extracted' THEN 1 ELSE 0 END) AS n_not_extracted,
@@ -113,15 +155,17 @@ SELECT organoid_type, module, field, {p} AS n_present, {r} AS n_not_reported, su
 FROM ({src}) x GROUP BY organoid_type, module, field"""
 
 
-@operator("b01_failure_modes", "documents")
+@operator("b01_failure_modes", "manuscripts")
 def failure_modes(d: Dialect) -> str:
-    labels = " UNION ALL ".join(f"SELECT doc_id, source, '{n}' AS cluster FROM documents WHERE {d.matches('lower(text)', p)}" for n, p in FAILURE_CLUSTERS.items())
-    if d.spark:
-        made = ", ".join(f"CASE WHEN {d.matches('lower(text)', p)} THEN '{n}' END" for n, p in FAILURE_CLUSTERS.items())
-        labels = f"SELECT doc_id, source, explode(array_compact(array({made}))) AS cluster FROM documents"
+    """Failure descriptions (one of each paper and first 80 characters) by type and cluster, with the
+    first five papers as examples."""
     return f"""
-SELECT source, cluster, count(*) AS n, min(doc_id) AS example, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, cluster) AS cluster_rank
-FROM ({labels}) x GROUP BY source, cluster"""
+WITH f AS (SELECT pmcid, max(coalesce(nullif(organoid_type, ''), 'unknown')) AS t, substring(lower(failure), 1, 80) AS k, min(lower(failure)) AS failure FROM manuscripts WHERE trim(failure) <> ''
+  GROUP BY pmcid, substring(lower(failure), 1, 80)),
+x AS (SELECT pmcid, t, {_exploded(d, labels_of(d, 'failure', FAILURE_CLUSTERS), 'cluster')} FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY t, cluster ORDER BY pmcid) AS rn FROM x)
+SELECT t AS organoid_type, cluster, count(*) AS n, {d.joined_set('CASE WHEN rn <= 5 THEN pmcid END')} AS examples, row_number() OVER (PARTITION BY t ORDER BY count(*) DESC, cluster) AS cluster_rank
+FROM r GROUP BY t, cluster"""
 
 
 @operator("b03_consensus_scalars", "protocols", k=10)
@@ -163,12 +207,18 @@ def supplement_worklist(d: Dialect, k: int) -> str:
 WHERE kind = 'supplement' AND grounded = 0 GROUP BY variety ORDER BY n DESC, canonical LIMIT {k}"""
 
 
-@operator("b12_public_export", "protocols")
+def public_license(d: Dialect, c: str = "license") -> str:
+    """CC0 or CC-BY (SA included) without NC or ND; a last -NG says nothing about use."""
+    code = f"replace(replace(upper(trim({c})), ' ', '-'), '_', '-')"
+    bare = f"CASE WHEN {code} LIKE '%-NG' THEN substring({code}, 1, length({code}) - 3) ELSE {code} END"
+    return f"(coalesce({c}, '') <> '' AND {bare} NOT LIKE '%NC%' AND {bare} NOT LIKE '%ND%' AND ({bare} LIKE 'CC-BY%' OR {bare} LIKE 'CC0%'))"
+
+
+@operator("b12_public_export", "manuscripts")
 def public_export(d: Dialect) -> str:
-    folded = f"upper({d.sub('license', '[_ ]', '-')})"
+    """What may be exported: papers with a PMC key, a public licence and a type."""
     return f"""
-SELECT organoid_type, license_code, count(*) AS n FROM (SELECT organoid_type, {folded} AS license_code FROM protocols WHERE {typed()} AND license IS NOT NULL) x
-WHERE (license_code LIKE 'CC-BY%' OR license_code LIKE 'CC0%') AND license_code NOT LIKE '%-NC%' AND license_code NOT LIKE '%-ND%' GROUP BY organoid_type, license_code"""
+SELECT organoid_type, license, count(*) AS n FROM manuscripts WHERE pmcid LIKE 'PMC%' AND {typed()} AND {public_license(d)} GROUP BY organoid_type, license"""
 
 
 @operator("b13_knowledge_base", "reagents")

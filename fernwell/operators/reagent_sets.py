@@ -5,15 +5,10 @@ names; names below the wanted support are dropped before the join, as no pair ca
 
 from __future__ import annotations
 
+from ..functions.vocabulary import MERGE_BREAK, MERGE_PREFIX, MERGE_STOP_WORDS, ROLES
 from ..plans.dialect import Dialect, operator, q, rate, text
 from .breakdowns import typed
 
-# Raw role -> category.
-ROLES = {"ECONOMY": "growth_factor", "STANDARD": "inhibitor", "PROMO": "agonist", "SMALL": "supplement", "MEDIUM": "matrix", "LARGE": "antibiotic"}
-# Words that do not tell names apart.
-STOP_WORDS = ("recombinant", "human", "mouse", "protein", "the", "of", "solution", "medium", "media", "factor", "acid", "salt", "free", "plus")
-
-
 def _named(c: str = "canonical") -> str:
     return f"coalesce(nullif(trim({c}), ''), name)"
 
@@ -80,34 +75,54 @@ SELECT canonical, count(*) AS n_types FROM ({_essentials(min_fraction)}) e GROUP
 HAVING count(*) * 2 >= (SELECT count(DISTINCT organoid_type) FROM reagents WHERE {typed()})"""
 
 
-@operator("a18_type_similarity", "reagents", top=5)
+def _type_pairs(d: Dialect, **_) -> str:  # noqa: ANN003
+    """Names that two types share and, as pairs with themselves, names of a type: types are gathered
+    by name, and are few."""
+    if d.spark:
+        return """
+SELECT p.a AS ta, p.b AS tb, count(*) AS n FROM (
+  SELECT explode(flatten(transform(ts, a -> transform(ts, b -> struct(a AS a, b AS b))))) AS p
+  FROM (SELECT lower(variety) AS c, collect_set(organoid_type) AS ts FROM reagents WHERE organoid_type IS NOT NULL AND variety IS NOT NULL GROUP BY lower(variety)) x) y GROUP BY p.a, p.b"""
+    return """
+SELECT x.t AS ta, y.t AS tb, count(*) AS n FROM (SELECT DISTINCT organoid_type AS t, lower(variety) AS c FROM reagents WHERE organoid_type IS NOT NULL AND variety IS NOT NULL) x
+JOIN (SELECT DISTINCT organoid_type AS t, lower(variety) AS c FROM reagents WHERE organoid_type IS NOT NULL AND variety IS NOT NULL) y ON x.c = y.c GROUP BY x.t, y.t"""
+
+
+@operator("a18_type_similarity", "reagents", steps={"type_pairs": _type_pairs}, top=5)
 def type_similarity(d: Dialect, top: int) -> str:
     return f"""
-WITH s AS (SELECT DISTINCT organoid_type AS t, lower(variety) AS c FROM reagents WHERE organoid_type IS NOT NULL AND variety IS NOT NULL),
-sizes AS (SELECT t, count(*) AS n FROM s GROUP BY t),
-shared AS (SELECT a.t AS ta, b.t AS tb, count(*) AS n FROM s a JOIN s b ON a.c = b.c WHERE a.t <> b.t GROUP BY a.t, b.t)
+WITH sizes AS (SELECT ta AS t, n FROM type_pairs WHERE ta = tb), shared AS (SELECT ta, tb, n FROM type_pairs WHERE ta <> tb)
 SELECT organoid_type, other_type, jaccard, n_shared, n_union, type_rank FROM (
   SELECT ta AS organoid_type, tb AS other_type, {q('CAST(h.n AS DOUBLE) / (x.n + y.n - h.n)')} AS jaccard, h.n AS n_shared, x.n + y.n - h.n AS n_union,
     row_number() OVER (PARTITION BY ta ORDER BY CAST(h.n AS DOUBLE) / (x.n + y.n - h.n) DESC, tb) AS type_rank
   FROM shared h JOIN sizes x ON x.t = ta JOIN sizes y ON y.t = tb) z WHERE type_rank <= {top}"""
 
 
-def _pairs(min_papers: int, where: str) -> str:
-    return f"""
-WITH pc AS (SELECT DISTINCT pmcid, variety AS c FROM reagents WHERE {where}),
-sizes AS (SELECT c, count(*) AS n FROM pc GROUP BY c HAVING count(*) >= {min_papers}),
-often AS (SELECT pc.pmcid, pc.c FROM pc JOIN sizes ON sizes.c = pc.c),
-pairs AS (SELECT a.c AS ca, b.c AS cb, count(*) AS n FROM often a JOIN often b ON a.pmcid = b.pmcid AND a.c < b.c GROUP BY a.c, b.c HAVING count(*) >= {min_papers})
-SELECT ca AS c_a, cb AS c_b, p.n AS n_papers, x.n AS n_papers_a, y.n AS n_papers_b, {q('CAST(p.n AS DOUBLE) / (x.n + y.n - p.n)')} AS jaccard
-FROM pairs p JOIN sizes x ON x.c = ca JOIN sizes y ON y.c = cb"""
+def _pair_counts(where: str):  # noqa: ANN202
+    """Papers of each pair of names and, as pairs with themselves, of each name, in one scan: names
+    are gathered by paper, which has few."""
+
+    def plan(d: Dialect, **_) -> str:  # noqa: ANN003
+        if d.spark:
+            return f"""
+SELECT p.a AS ca, p.b AS cb, count(*) AS n FROM (
+  SELECT explode(flatten(transform(cs, a -> transform(filter(cs, b -> b >= a), b -> struct(a AS a, b AS b))))) AS p
+  FROM (SELECT pmcid, collect_set(variety) AS cs FROM reagents WHERE {where} GROUP BY pmcid) x) y GROUP BY p.a, p.b"""
+        return f"""
+SELECT x.variety AS ca, y.variety AS cb, count(*) AS n FROM (SELECT DISTINCT pmcid, variety FROM reagents WHERE {where}) x
+JOIN (SELECT DISTINCT pmcid, variety FROM reagents WHERE {where}) y ON x.pmcid = y.pmcid AND x.variety <= y.variety GROUP BY x.variety, y.variety"""
 
+    return plan
 
-@operator("a30_reagent_cooccurrence", "reagents", min_papers=2)
+
+@operator("a30_reagent_cooccurrence", "reagents", steps={"pair_counts": _pair_counts("kind = 'signaling' AND variety IS NOT NULL")}, min_papers=2)
 def reagent_cooccurrence(d: Dialect, min_papers: int) -> str:
-    return _pairs(min_papers, "kind = 'signaling' AND variety IS NOT NULL")
+    return f"""
+SELECT p.ca AS c_a, p.cb AS c_b, p.n AS n_papers, x.n AS n_papers_a, y.n AS n_papers_b, {q('CAST(p.n AS DOUBLE) / (x.n + y.n - p.n)')} AS jaccard
+FROM pair_counts p JOIN pair_counts x ON x.ca = p.ca AND x.cb = p.ca JOIN pair_counts y ON y.ca = p.cb AND y.cb = p.cb WHERE p.ca < p.cb AND p.n >= {min_papers}"""
 
 
-@operator("a31_type_comparison", "reagents", a="FRANCE", b="GERMANY")
+@operator("a31_type_comparison", "reagents", a="NATION_1", b="NATION_2")
 def type_comparison(d: Dialect, a: str, b: str) -> str:
     in_a, in_b = (f"count(CASE WHEN organoid_type = {text(x)} THEN 1 END)" for x in (a, b))
     return f"""
@@ -115,7 +130,7 @@ SELECT variety AS canonical, CASE WHEN {in_a} > 0 AND {in_b} > 0 THEN 'shared' W
   {d.joined_set('kind')} AS kinds, count(*) AS n_records FROM reagents WHERE organoid_type IN ({text(a)}, {text(b)}) GROUP BY variety"""
 
 
-@operator("a31_comparison_head", "reagents", a="FRANCE", b="GERMANY")
+@operator("a31_comparison_head", "reagents", a="NATION_1", b="NATION_2")
 def comparison_head(d: Dialect, a: str, b: str) -> str:
     return f"""
 SELECT sum(CASE WHEN m = 3 THEN 1 ELSE 0 END) AS n_shared, sum(CASE WHEN m = 1 THEN 1 ELSE 0 END) AS n_only_a, sum(CASE WHEN m = 2 THEN 1 ELSE 0 END) AS n_only_b,
@@ -154,26 +169,26 @@ SELECT variety AS canonical, count(DISTINCT pmcid) AS n_papers, count(DISTINCT o
 WHERE kind = 'supplement' GROUP BY variety HAVING count(DISTINCT organoid_type) >= {min_types}"""
 
 
-def role_of(c: str) -> str:
-    cases = " ".join(f"WHEN upper({c}) LIKE '{k}%' THEN '{v}'" for k, v in ROLES.items())
-    return f"CASE WHEN {c} IS NULL OR trim({c}) = '' THEN 'not_stated' {cases} ELSE 'other' END"
+def role_of(d: Dialect, c: str = "role") -> str:
+    known = d.lookup(f"lower(trim({c}))", ROLES, "'other'")
+    return f"CASE WHEN {c} IS NULL OR lower(trim({c})) IN ('', 'null', 'not stated') THEN 'not_stated' ELSE {known} END"
 
 
-@operator("a42_role_breakdown", "reagents")
+@operator("a42_role_breakdown", "mentions")
 def role_breakdown(d: Dialect) -> str:
     return f"""
 SELECT CASE WHEN grouping(t) = 1 THEN 'cross' ELSE 'type' END AS level, coalesce(t, '*') AS organoid_type, r AS role, count(*) AS n_records,
   {q('count(*) * 1e2 / sum(count(*)) OVER (PARTITION BY grouping(t), t)', 1)} AS pct
-FROM (SELECT organoid_type AS t, {role_of('role')} AS r FROM reagents WHERE kind = 'signaling') x GROUP BY GROUPING SETS ((t, r), (r))"""
+FROM (SELECT organoid_type AS t, {role_of(d)} AS r FROM mentions WHERE kind = 'signaling') x GROUP BY GROUPING SETS ((t, r), (r))"""
 
 
-@operator("a42_role_tops", "reagents", k=50)
+@operator("a42_role_tops", "mentions", k=50)
 def role_tops(d: Dialect, k: int) -> str:
     return f"""
 SELECT role, canonical, n_papers, n_records FROM (
   SELECT role, canonical, n_papers, n_records, row_number() OVER (PARTITION BY role ORDER BY n_papers DESC, canonical) AS rn FROM (
-    SELECT {role_of('role')} AS role, canonical, count(DISTINCT pmcid) AS n_papers, count(*) AS n_records FROM reagents WHERE kind = 'signaling'
-    GROUP BY {role_of('role')}, canonical) x) y WHERE rn <= {k}"""
+    SELECT {role_of(d)} AS role, coalesce(name, '') AS canonical, count(DISTINCT pmcid) AS n_papers, count(*) AS n_records FROM mentions WHERE kind = 'signaling'
+    GROUP BY {role_of(d)}, coalesce(name, '')) x) y WHERE rn <= {k}"""
 
 
 @operator("a43_type_reagent_heatmap", "reagents", top=20)
@@ -202,23 +217,36 @@ SELECT source, canonical, n_papers, exclusive, source_rank FROM (
     row_number() OVER (PARTITION BY source ORDER BY n DESC, c) AS source_rank FROM n) x WHERE source_rank <= {k}"""
 
 
-@operator("a47_source_cell_jaccard", "reagents", "protocols", min_papers=2)
+def _source_names(d: Dialect, min_papers: int) -> str:
+    return f"""
+SELECT dim.source AS s, r.variety AS c FROM reagents r JOIN (SELECT doi, max(source_cell_type) AS source FROM protocols WHERE source_cell_type <> '' GROUP BY doi) dim
+ON dim.doi = r.doi GROUP BY dim.source, r.variety HAVING count(DISTINCT r.doi) >= {min_papers}"""
+
+
+@operator("a47_source_cell_jaccard", "reagents", "protocols", steps={"source_names": _source_names}, min_papers=2)
 def source_cell_jaccard(d: Dialect, min_papers: int) -> str:
     return f"""
-WITH dim AS (SELECT doi, max(source_cell_type) AS source FROM protocols WHERE source_cell_type <> '' GROUP BY doi),
-n AS (SELECT dim.source AS s, r.variety AS c FROM reagents r JOIN dim ON dim.doi = r.doi GROUP BY dim.source, r.variety HAVING count(DISTINCT r.doi) >= {min_papers}),
-sizes AS (SELECT s, count(*) AS n FROM n GROUP BY s)
+WITH sizes AS (SELECT s, count(*) AS n FROM source_names GROUP BY s)
 SELECT a.s AS source_a, b.s AS source_b, count(*) AS shared_n, {q('CAST(count(*) AS DOUBLE) / (max(x.n) + max(y.n) - count(*))')} AS jaccard
-FROM n a JOIN n b ON a.c = b.c AND a.s < b.s JOIN sizes x ON x.s = a.s JOIN sizes y ON y.s = b.s GROUP BY a.s, b.s"""
+FROM source_names a JOIN source_names b ON a.c = b.c AND a.s < b.s JOIN sizes x ON x.s = a.s JOIN sizes y ON y.s = b.s GROUP BY a.s, b.s"""
+
 
+def _typed_papers(d: Dialect, **_) -> str:  # noqa: ANN003
+    return f"SELECT doi, max(organoid_type) AS t FROM protocols WHERE {typed()} GROUP BY doi"
 
-@operator("a52_type_enrichment", "reagents", "protocols", min_n=3)
+
+def _name_counts(d: Dialect, **_) -> str:  # noqa: ANN003
+    """Papers of each name, in all (t null) and by type, in one pass over the reagents."""
+    return """
+SELECT c, t, count(DISTINCT doi) AS n, min(kind) AS kind, grouping(t) AS overall FROM (
+  SELECT x.doi, x.variety AS c, dim.t, x.kind FROM reagents x JOIN typed_papers dim ON dim.doi = x.doi) y GROUP BY GROUPING SETS ((c, t), (c))"""
+
+
+@operator("a52_type_enrichment", "reagents", "protocols", steps={"typed_papers": _typed_papers, "name_counts": _name_counts}, min_n=3)
 def type_enrichment(d: Dialect, min_n: int) -> str:
     return f"""
-WITH dim AS (SELECT doi, max(organoid_type) AS t FROM protocols WHERE {typed()} GROUP BY doi),
-r AS (SELECT DISTINCT x.doi, x.variety AS c, dim.t, x.kind FROM reagents x JOIN dim ON dim.doi = x.doi),
-ct AS (SELECT c, t, count(DISTINCT doi) AS n, min(kind) AS kind FROM r GROUP BY c, t HAVING count(DISTINCT doi) >= {min_n}),
-cg AS (SELECT c, count(DISTINCT doi) AS n FROM r GROUP BY c), tt AS (SELECT t, count(*) AS n FROM dim GROUP BY t), g AS (SELECT count(*) AS n FROM dim)
+WITH dim AS (SELECT * FROM typed_papers), ct AS (SELECT c, t, n, kind FROM name_counts WHERE overall = 0 AND n >= {min_n}),
+cg AS (SELECT c, n FROM name_counts WHERE overall = 1), tt AS (SELECT t, count(*) AS n FROM dim GROUP BY t), g AS (SELECT count(*) AS n FROM dim)
 SELECT canonical, organoid_type, n_type_papers, n_global_papers, n_type_protocols, {q('type_rate', 6)} AS type_rate, {q('global_rate', 6)} AS global_rate,
   {q('type_rate / global_rate')} AS enrichment_ratio, kind FROM (
   SELECT ct.c AS canonical, ct.t AS organoid_type, ct.n AS n_type_papers, cg.n AS n_global_papers, tt.n AS n_type_protocols,
@@ -237,15 +265,20 @@ WHERE n_signaling > 0 AND n_supplement > 0 AND n_signaling + n_supplement >= {mi
 
 
 def normal_form(d: Dialect, c: str) -> str:
-    bare = d.sub(f"lower({c})", r"\b(" + "|".join(STOP_WORDS) + r")\b", " ")
-    return d.sub(bare, r"[^a-z]+", "")
+    """The prefix dropped, then the words that tell names apart, by blanks."""
+    bare = d.sub(f"lower(trim({c}))", MERGE_PREFIX, "") if d.spark else f"regexp_replace(lower(trim({c})), {text(MERGE_PREFIX)}, '')"
+    stop = ", ".join(text(w) for w in ("", *MERGE_STOP_WORDS))
+    if d.spark:
+        return f"array_join(filter(split({bare}, {d.pattern(MERGE_BREAK)}), w -> w NOT IN ({stop})), ' ')"
+    return f"array_to_string(list_filter(regexp_split_to_array({bare}, {text(MERGE_BREAK)}), lambda w: w NOT IN ({stop})), ' ')"
 
 
-@operator("a60_merge_candidates", "reagents", min_records=2)
+@operator("a60_merge_candidates", "mentions", min_records=2)
 def merge_candidates(d: Dialect, min_records: int) -> str:
     return f"""
 SELECT normalized_form, count(*) AS n_canonicals, sum(n) AS total_records, {d.joined_set('c')} AS members FROM (
-  SELECT {normal_form(d, 'variety')} AS normalized_form, variety AS c, count(*) AS n FROM reagents GROUP BY {normal_form(d, 'variety')}, variety) x
+  SELECT {normal_form(d, 'name')} AS normalized_form, name AS c, count(*) AS n FROM mentions WHERE name IS NOT NULL GROUP BY {normal_form(d, 'name')}, name) x
+WHERE normalized_form <> ''
 GROUP BY normalized_form HAVING count(*) >= 2 AND sum(n) >= {min_records}"""
 
 

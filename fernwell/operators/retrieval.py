@@ -22,10 +22,10 @@ WITH len AS (SELECT doc_id, {"size(split(text, ' '))" if d.spark else "len(strin
 st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM len),
 tf AS (SELECT doc_id, w, count(*) AS f FROM documents {d.words('text')} WHERE w IN ({asked}) GROUP BY doc_id, w),
 idf AS (SELECT w, ln((max(st.n) - count(*) + 5e-1) / (count(*) + 5e-1) + 1) AS idf FROM tf CROSS JOIN st GROUP BY w)
-SELECT doc_id, {q('score')} AS score, row_number() OVER (ORDER BY {q('score')} DESC, doc_id) AS score_rank FROM (
+SELECT doc_id, score, row_number() OVER (ORDER BY score DESC, doc_id) AS score_rank FROM (SELECT doc_id, {q('score')} AS score FROM (
   SELECT tf.doc_id, sum(idf.idf * tf.f * 2.2 / (tf.f + 1.2 * (0.25 + 0.75 * len.dl / st.avgdl))) AS score
   FROM tf JOIN idf ON idf.w = tf.w JOIN len ON len.doc_id = tf.doc_id CROSS JOIN st GROUP BY tf.doc_id) x
-ORDER BY score DESC, doc_id LIMIT {k}"""
+  ORDER BY score DESC, doc_id LIMIT {k}) best"""
 
 
 def _dot(d: Dialect, a: str, b: str) -> str:
@@ -42,9 +42,9 @@ def _cos(d: Dialect, a: str, b: str) -> str:
 def dense_top_k(d: Dialect, query_id: int, k: int) -> str:
     """Cosine to one stored vector (one row, broadcast), best k."""
     return f"""
-SELECT vec_id, label, {q('c', 5)} AS cosine, row_number() OVER (ORDER BY {q('c', 5)} DESC, vec_id) AS cosine_rank FROM (
+SELECT vec_id, label, cosine, row_number() OVER (ORDER BY cosine DESC, vec_id) AS cosine_rank FROM (SELECT vec_id, label, {q('c', 5)} AS cosine FROM (
   SELECT e.vec_id, e.label, {_cos(d, 'e.embedding', 'q.embedding')} AS c FROM embeddings e CROSS JOIN (SELECT embedding FROM embeddings WHERE vec_id = {query_id}) q
-  WHERE e.vec_id <> {query_id} AND e.embedding IS NOT NULL) x WHERE c IS NOT NULL ORDER BY {q('c', 5)} DESC, vec_id LIMIT {k}"""
+  WHERE e.vec_id <> {query_id} AND e.embedding IS NOT NULL) x WHERE c IS NOT NULL ORDER BY cosine DESC, vec_id LIMIT {k}) best"""
 
 
 def _centroids(d: Dialect) -> str:
@@ -76,17 +76,31 @@ SELECT label, vec_id, {q('cosine', 5)} AS score, lex_rank, hybrid_rank FROM (
 
 @operator("r07_relevance_ranking", "labels", least=0)
 def relevance_ranking(d: Dialect, least: int) -> str:
-    return f"""SELECT doc_id, quality, row_number() OVER (ORDER BY CASE WHEN quality IS NULL THEN 1 ELSE 0 END, quality DESC, doc_id) AS relevance_rank
-FROM labels WHERE quality IS NULL OR quality >= {least}"""
+    """Best first, rows without a score last. Ranks are made within a score and a range of ids, and
+    shifted by the counts of what comes before: no task ranks all."""
+    return f"""
+WITH kept AS (SELECT doc_id, quality, coalesce(-quality, 1000000) AS o, CAST(floor(doc_id / 5e4) AS BIGINT) AS part FROM labels WHERE quality IS NULL OR quality >= {least}),
+n AS (SELECT o, part, count(*) AS n FROM kept GROUP BY o, part),
+shift AS (SELECT o, part, sum(n) OVER (ORDER BY o, part) - n AS before FROM n)
+SELECT k.doc_id, k.quality, CAST(s.before + row_number() OVER (PARTITION BY k.o, k.part ORDER BY k.doc_id) AS BIGINT) AS relevance_rank
+FROM kept k JOIN shift s ON s.o = k.o AND s.part = k.part"""
+
+
+def _prevalence(d: Dialect, **_) -> str:  # noqa: ANN003
+    """Share of a type's papers that name a reagent, for types of five papers at least: papers of a
+    type and of its names come from one pass."""
+    return f"""
+SELECT t, c, CAST(n AS DOUBLE) / n_type AS prev FROM (
+  SELECT t, c, n, max(CASE WHEN overall = 1 THEN n END) OVER (PARTITION BY t) AS n_type, overall FROM (
+    SELECT organoid_type AS t, canonical AS c, count(DISTINCT pmcid) AS n, grouping(canonical) AS overall FROM reagents WHERE {typed()}
+    GROUP BY GROUPING SETS ((organoid_type, canonical), (organoid_type))) x) y WHERE overall = 0 AND n_type >= 5"""
 
 
-@operator("r08_recommender", "reagents", here=0.02, there=0.03, k=12)
+@operator("r08_recommender", "reagents", steps={"p": _prevalence}, here=0.02, there=0.03, k=12)
 def recommender(d: Dialect, here: float, there: float, k: int) -> str:
     """Reagents common in similar types and rare in this one."""
     return f"""
-WITH t AS (SELECT organoid_type AS t, count(DISTINCT pmcid) AS n FROM reagents WHERE {typed()} GROUP BY organoid_type HAVING count(DISTINCT pmcid) >= 5),
-p AS (SELECT r.organoid_type AS t, r.canonical AS c, CAST(count(DISTINCT r.pmcid) AS DOUBLE) / max(t.n) AS prev FROM reagents r JOIN t ON t.t = r.organoid_type GROUP BY r.organoid_type, r.canonical),
-nrm AS (SELECT t, sqrt(sum(prev * prev)) AS n FROM p GROUP BY t),
+WITH nrm AS (SELECT t, sqrt(sum(prev * prev)) AS n FROM p GROUP BY t),
 sim AS (SELECT a.t AS t, b.t AS o, {q('sum(a.prev * b.prev) / (max(x.n) * max(y.n))', 6)} AS s FROM p a JOIN p b ON a.c = b.c AND a.t <> b.t JOIN nrm x ON x.t = a.t JOIN nrm y ON y.t = b.t GROUP BY a.t, b.t),
 near AS (SELECT t, o, s FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY s DESC, o) AS rn FROM sim) z WHERE rn <= 5),
 cand AS (SELECT near.t, p.c, {q('sum(near.s * p.prev)', 4)} AS score FROM near JOIN p ON p.t = near.o WHERE p.prev >= {there} GROUP BY near.t, p.c)
@@ -95,7 +109,7 @@ SELECT organoid_type, canonical, score, suggestion_rank FROM (
   FROM cand LEFT JOIN p ON p.t = cand.t AND p.c = cand.c WHERE coalesce(p.prev, 0) < {here}) x WHERE suggestion_rank <= {k}"""
 
 
-@operator("r09_signaling_by_type", "reagents", wanted="FRANCE")
+@operator("r09_signaling_by_type", "reagents", wanted="NATION_1")
 def signaling_by_type(d: Dialect, wanted: str) -> str:
     return f"SELECT canonical, count(DISTINCT pmcid) AS n_papers, count(value) AS n_dosed FROM reagents WHERE kind = 'signaling' AND organoid_type = {text(wanted)} GROUP BY canonical"
 

@@ -8,12 +8,12 @@ from .breakdowns import typed
 from .graph import lineage_graph
 from .quality_reports import assay_endpoints, consensus_reagents, coverage_report, failure_modes, mior, protocol_diff, quality_score, system_status
 
-operator("a04_failure_modes_route", "documents")(failure_modes)
+operator("a04_failure_modes_route", "manuscripts")(failure_modes)
 operator("a05_lineage_route", "lineage")(lineage_graph)
 operator("a06_compare_route", "reagents", a="5", b="7")(protocol_diff)
 operator("a08_coverage_route", "protocols")(coverage_report)
 operator("a11_status_route", "protocols", "reagents")(system_status)
-operator("a13_assay_route", "protocols")(assay_endpoints)
+operator("a13_assay_route", "manuscripts")(assay_endpoints)
 operator("a40_mior_route", "protocols")(mior)
 
 
@@ -23,7 +23,7 @@ def catalogue(d: Dialect) -> str:
     return f"SELECT key, family FROM (VALUES {rows}) v(key, family)"
 
 
-@operator("a03_consensus_type", "reagents", wanted="FRANCE")
+@operator("a03_consensus_type", "reagents", wanted="NATION_1")
 def consensus_type(d: Dialect, wanted: str) -> str:
     return f"WITH c AS (SELECT * FROM ({consensus_reagents(d).strip().replace('WITH t AS', 'WITH t AS', 1)}) z) SELECT * FROM c WHERE organoid_type = {text(wanted)} AND prevalence >= 0.05"
 
@@ -34,12 +34,12 @@ def substitutions(d: Dialect, wanted: str) -> str:
     return f"SELECT source, min(cited) AS cited, substring(change, 1, 60) AS change_key FROM lineage WHERE position({text(wanted)} IN lower(change)) > 0 GROUP BY source, substring(change, 1, 60)"
 
 
-@operator("a09_coverage_type", "protocols", wanted="FRANCE")
+@operator("a09_coverage_type", "protocols", wanted="NATION_1")
 def coverage_type(d: Dialect, wanted: str) -> str:
     return f"SELECT * FROM ({coverage_report(d)}) z WHERE organoid_type = {text(wanted)}"
 
 
-@operator("a12_quality_rows", "protocols", wanted="FRANCE", tier="gold", cap=200)
+@operator("a12_quality_rows", "protocols", wanted="NATION_1", tier="silver", cap=200)
 def quality_rows(d: Dialect, wanted: str, tier: str, cap: int) -> str:
     return f"SELECT pmcid, organoid_type, score, tier FROM ({quality_score(d)}) z WHERE organoid_type = {text(wanted)} AND tier = {text(tier)} ORDER BY score DESC, pmcid LIMIT {cap}"
 

@@ -7,17 +7,13 @@ from ..plans.dialect import Dialect, operator, q, rate
 
 @operator("a29_temporal_adoption", "reagents", "protocols")
 def temporal_adoption(d: Dialect) -> str:
-    return f"""
-WITH papers AS (SELECT year, count(DISTINCT pmcid) AS n FROM protocols WHERE year IS NOT NULL GROUP BY year),
-used AS (SELECT r.canonical, p.year, count(DISTINCT r.pmcid) AS n FROM reagents r JOIN (SELECT DISTINCT pmcid, year FROM protocols WHERE year IS NOT NULL) p ON p.pmcid = r.pmcid GROUP BY r.canonical, p.year)
-SELECT c.canonical, papers.year, papers.n AS n_papers_total, coalesce(used.n, 0) AS n_papers_with_reagent, {rate('coalesce(used.n, 0)', 'papers.n', 3)} AS adoption_fraction
-FROM (SELECT DISTINCT canonical FROM used) c CROSS JOIN papers LEFT JOIN used ON used.canonical = c.canonical AND used.year = papers.year"""
+    return f"SELECT canonical, year, n_all AS n_papers_total, n AS n_papers_with_reagent, f AS adoption_fraction FROM ({_series(d)}) s"
 
 
 @operator("a29_adoption_trend", "reagents", "protocols", k=20)
 def adoption_trend(d: Dialect, k: int) -> str:
     return f"""
-WITH series AS ({_series()})
+WITH series AS ({_series(d)})
 SELECT canonical, min(year) AS first_year, max(year) AS last_year, max(CASE WHEN peak = 1 THEN year END) AS peak_year, max(f) AS peak_adoption,
   {q('avg(CASE WHEN up <= 3 THEN f END)')} AS early_avg, {q('avg(CASE WHEN down <= 3 THEN f END)')} AS recent_avg,
   CASE WHEN avg(CASE WHEN down <= 3 THEN f END) - avg(CASE WHEN up <= 3 THEN f END) > 5e-2 THEN 'rising'
@@ -27,11 +23,22 @@ FROM (SELECT *, row_number() OVER (PARTITION BY canonical ORDER BY year) AS up,
 GROUP BY canonical ORDER BY n_pmcids_using DESC, canonical LIMIT {k}"""
 
 
-def _series() -> str:
-    return f"""SELECT c.canonical, y.year, coalesce(u.n, 0) AS n, {rate('coalesce(u.n, 0)', 'y.n', 3)} AS f
-FROM (SELECT DISTINCT canonical FROM reagents) c CROSS JOIN (SELECT year, count(DISTINCT pmcid) AS n FROM protocols WHERE year IS NOT NULL GROUP BY year) y
-LEFT JOIN (SELECT r.canonical, p.year, count(DISTINCT r.pmcid) AS n FROM reagents r JOIN (SELECT DISTINCT pmcid, year FROM protocols WHERE year IS NOT NULL) p ON p.pmcid = r.pmcid
-  GROUP BY r.canonical, p.year) u ON u.canonical = c.canonical AND u.year = y.year"""
+def _series(d: Dialect) -> str:
+    """Papers of each name in each year of the corpus, zeros included. The years, a few dozen, are
+    gathered into one array and exploded beside each name: no join of names and years."""
+    papers = "SELECT year, count(DISTINCT pmcid) AS n FROM protocols WHERE year IS NOT NULL GROUP BY year"
+    used = """SELECT r.canonical, p.year, count(DISTINCT r.pmcid) AS n FROM reagents r
+  JOIN (SELECT DISTINCT pmcid, year FROM protocols WHERE year IS NOT NULL) p ON p.pmcid = r.pmcid GROUP BY r.canonical, p.year"""
+    fraction = rate("n", "n_all", 3)
+    if not d.spark:
+        return f"""SELECT canonical, year, n_all, n, {fraction} AS f FROM (
+  SELECT c.canonical, y.year, y.n AS n_all, coalesce(u.n, 0) AS n FROM (SELECT DISTINCT canonical FROM ({used}) a) c CROSS JOIN ({papers}) y
+  LEFT JOIN ({used}) u ON u.canonical = c.canonical AND u.year = y.year) z"""
+    return f"""SELECT canonical, year, n_all, n, {fraction} AS f FROM (
+  SELECT canonical, y.year AS year, y.n AS n_all, coalesce(element_at(by_year, y.year), 0) AS n FROM (
+    SELECT canonical, by_year, (SELECT collect_list(struct(year, n)) FROM ({papers}) p) AS years FROM (
+      SELECT canonical, map_from_entries(collect_list(struct(year, n))) AS by_year FROM ({used}) u GROUP BY canonical) x) z
+  LATERAL VIEW explode(years) e AS y) w"""
 
 
 def _yearly(min_n: int, name: str) -> str:

@@ -46,7 +46,7 @@ class Dialect:
     def upper_median(self, x: str) -> str:
         """Aggregate: the element at index n // 2 of the sorted values."""
         if self.spark:
-            return f"element_at(array_sort(collect_list({x})), CAST(floor(count({x}) / 2) AS INT) + 1)"
+            return f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {x} DESC)"
         return f"list_extract(list_sort(list({x}) FILTER (WHERE {x} IS NOT NULL)), CAST(floor(count({x}) / 2) AS INT) + 1)"
 
     def matches(self, x: str, pattern: str) -> str:
@@ -72,6 +72,10 @@ class Dialect:
             return f"LATERAL VIEW explode(split({x}, {self.pattern(sep)})) pieces AS {alias}"
         return f", unnest(regexp_split_to_array({x}, {text(sep)})) pieces({alias})"
 
+    def lookup(self, x: str, table: dict[str, str], default: str = "NULL") -> str:
+        """The value that a table has for x, else the default expression."""
+        return f"CASE {x} " + " ".join(f"WHEN {text(k)} THEN {text(v)}" for k, v in table.items()) + f" ELSE {default} END"
+
     def try_double(self, x: str) -> str:
         return f"try_cast({x} AS DOUBLE)"
 
@@ -93,6 +97,9 @@ class Operator:
     relations: tuple[str, ...]
     oracle: bool = True
     params: dict = field(default_factory=dict)
+    #: Results that the plan uses more than once, by name, in the order in which they build on each
+    #: other. They are kept (in memory or on local disk, made again where an executor is lost).
+    steps: dict[str, Plan] = field(default_factory=dict)
 
     def sql(self, dialect: Dialect, **params) -> str:  # noqa: ANN003
         return self.plan(dialect, **(self.params | params))
@@ -101,13 +108,14 @@ class Operator:
 OPERATORS: dict[str, Operator] = {}
 
 
-def operator(key: str, *relations: str, oracle: bool = True, **params) -> Callable[[Plan], Plan]:  # noqa: ANN003
-    """Registers a plan under a key; relations are the inputs it names."""
+def operator(key: str, *relations: str, oracle: bool = True, steps: dict[str, Plan] | None = None, **params) -> Callable[[Plan], Plan]:  # noqa: ANN003
+    """Registers a plan under a key; relations are the inputs it names, steps what it uses more than
+    once."""
 
     def put(plan: Plan) -> Plan:
         if key in OPERATORS:
             raise ValueError(f"{key} is there already")
-        OPERATORS[key] = Operator(key, plan, relations, oracle, params)
+        OPERATORS[key] = Operator(key, plan, relations, oracle, params, steps or {})
         return plan
 
     return put

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | None = None, app: str = "fernwell") -> SparkSession:
@@ -22,3 +24,23 @@ def local_session(cpus: int | None = None, app: str = "fernwell") -> SparkSessio
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir. Only a local session, whose
+    driver and executors are one process, gets a folder of its own where that is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="fernwell-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def stash(df: DataFrame, label: str) -> DataFrame:
+    """Writes df as a Parquet table in the shared folder and reads it back: cuts the lineage, and
+    survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
