@@ -70,7 +70,7 @@ def read_vectors(spark: SparkSession, array_path: str, rows_path: str, schema: s
                     yield pd.DataFrame({"row": np.arange(k, k + len(part)), "embedding": part.astype(np.float32).tolist()})
 
     vectors = spark.read.format("binaryFile").load(array_path).select("content").mapInPandas(rows_of, "row long, embedding array<float>")
-    lines = spark.read.option("wholetext", True).text(rows_path).select(F.posexplode(F.split("value", "\n")).alias("row", "line")).where("trim(line) <> ''")
+    lines = spark.read.text(rows_path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("row", "line")).where("trim(line) <> ''")
     return vectors.join(lines.select(F.col("row").cast("long"), F.from_json("line", schema).alias("r")), "row").select("row", "embedding", "r.*")
 
 

@@ -54,8 +54,6 @@ def test_text_columns(spark):
     html = spark.createDataFrame([(1, "<title>T</title><h1>A</h1><p>b <a href=x>c</a></p><script>no</script>"), (2, None)], "page_id long, html string")
     rows = {r.page_id: (r.title, r.n_headings, r.n_links, r.n_text) for r in X.page_sections(html).collect()}
     assert rows == {1: ("T", 1, 1, 3), 2: ("", 0, 0, 0)}
-    d = spark.createDataFrame([(1, "Cells were grown as previously described [4]."), (2, "none"), (3, None)], "doc_id long, text string")
-    assert [(r.doc_id, r.position) for r in X.delegations(d).collect()] == [(1, 17)]
     s = spark.createDataFrame([("k", 0, 5), ("k", 3, 8), ("k", 5, 9)], "key string, start long, end long")
     assert X.greedy_intervals(s).collect()[0].starts == "0,5"
 
