@@ -36,14 +36,16 @@ _MAGIC, _SYMBOLS = b"FWRP", 1 << 16
 _HEAD = struct.Struct("<4s5IQ")
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int = 8, rounds: int = 8) -> bytes:
-    """A shard's payload. starts: first id of each document and the end (documents + 1)."""
+def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int = 8) -> bytes:
+    """A shard's payload. starts: first id of each document and the end (documents + 1). Rounds go on
+    until no pair occurs `least` times or the 16-bit symbols are used up; a round takes two
+    thirds of those that are left at most, so that later ones can build on its rules."""
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)  # no pair begins at a document's last symbol
     ends = starts[1:][np.diff(starts) > 0] - 1
     last[ends] = True
     rules, lengths = [], []
-    for _ in range(rounds):
+    while True:
         room = _SYMBOLS - vocabulary - sum(map(len, rules))
         if len(seq) < 2 or room <= 0:
             break
@@ -55,30 +57,34 @@ def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int =
         often = np.flatnonzero(n >= least)
         if not len(often):
             break
-        often = often[np.argsort(-n[often], kind="stable")][:room]
+        often = often[np.argsort(-n[often], kind="stable")][: max(2 * room // 3, min(room, 512))]
         pairs = s[first[often]]
         # pairs are looked up in a hash table; of pairs that fall together the most frequent stays
         table = np.zeros(1 << 20, np.uint16)
         table[_slot(pairs[::-1])] = np.arange(len(pairs) - 1, -1, -1)
         at = table[_slot(key)]
         hit = pairs[at] == key
-        rank = np.full(len(seq) + 1, -1, np.int32)  # high: frequent
-        rank[open_[hit]] = len(pairs) - at[hit].astype(np.int32)
+        place = open_[hit]
+        rank = len(pairs) - at[hit].astype(np.int32)  # high: frequent
+        if not len(place):
+            break
         # a place is kept where it outranks its neighbours; in a stretch of one rank (a run of one
         # symbol) every other place is
-        here = rank[:-1]
-        first = runs(here)
-        size = np.diff(np.append(first, len(here)))
+        beside = np.append(False, place[1:] == place[:-1] + 1)
+        first = np.flatnonzero(~beside | np.append(True, rank[1:] != rank[:-1]))
+        size = np.diff(np.append(first, len(place)))
+        value, joined = rank[first], beside[first]
+        before = np.where(joined, np.append(0, value[:-1]), 0)
+        after = np.where(np.append(joined[1:], False), np.append(value[1:], 0), 0)
         which = np.repeat(np.arange(len(first)), size)
-        inside = np.arange(len(here)) - first[which]
-        value = here[first]
-        before = np.concatenate(([-1], value[:-1]))
-        after = np.concatenate((value[1:], [-1]))
-        keep = (here > 0) & (inside % 2 == 0)
+        inside = np.arange(len(place)) - first[which]
+        keep = inside % 2 == 0
         keep &= (inside > 0) | (value > before)[which]
         keep &= (inside < size[which] - 1) | (value > after)[which]
-        where = np.flatnonzero(keep)
-        used, number = np.unique(len(pairs) - here[where], return_inverse=True)
+        where = place[keep]
+        if not len(where):
+            break
+        used, number = np.unique(len(pairs) - rank[keep], return_inverse=True)
         base = vocabulary + sum(map(len, rules))
         rules.append(np.stack((pairs[used] >> np.uint32(16), pairs[used] & np.uint32(0xFFFF)), 1))
         seq[where] = base + number
@@ -86,8 +92,6 @@ def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int =
         gone = np.zeros(len(seq), bool)
         gone[where + 1] = True
         seq, last = seq[~gone], last[~gone]
-        if len(where) < len(seq) // 200:
-            break
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     size = _sizes(table, vocabulary)
     lengths = size[vocabulary:]

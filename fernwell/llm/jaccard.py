@@ -41,6 +41,7 @@ from .shared import (
     components,
     cut_by_bucket,
     discard,
+    distinct,
     documents_of,
     in_blocks,
     lower_ascii,
@@ -99,7 +100,7 @@ def _sets_of_slice(off: np.ndarray, data: np.ndarray, words: int) -> list[np.nda
     out = []
     for f, c in zip(first.tolist(), counts.tolist(), strict=True):
         if c >= words:
-            out.append(np.unique(roll[f : f + c - words + 1]))
+            out.append(distinct(roll[f : f + c - words + 1]))
         elif c:
             x = np.array([c], np.uint64)
             for v in h[f : f + c]:
@@ -434,7 +435,7 @@ def _block_links(entries: DataFrame, bodies: DataFrame, percent: int, block_toke
         order = np.argsort(token, kind="stable")
         token, owner = token[order], owner[order]
         first = runs(token)
-        distinct, last = token[first], np.append(first, len(token))
+        unlike, last = token[first], np.append(first, len(token))
         names, label = np.unique(c, return_inverse=True)  # components, joined as links are found
         out_a, out_b = [], []
         for k in b.tolist():
@@ -442,9 +443,9 @@ def _block_links(entries: DataFrame, bodies: DataFrame, percent: int, block_toke
             able = (label[a] != label[k]) & (100 * most >= percent * (n[a] + n[k] - most))
             if not able.any():
                 continue
-            at = np.searchsorted(distinct, sets[k])
-            at[at == len(distinct)] = 0
-            at = at[distinct[at] == sets[k]]
+            at = np.searchsorted(unlike, sets[k])
+            at[at == len(unlike)] = 0
+            at = at[unlike[at] == sets[k]]
             common = np.bincount(owner[ranges(last[at], last[at + 1] - last[at])], minlength=len(a))
             hit = np.flatnonzero(able & (100 * common >= percent * (n[a] + n[k] - common)))
             joined, where = np.unique(label[a[hit]], return_index=True)

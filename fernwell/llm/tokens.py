@@ -2,9 +2,10 @@
 
 A byte-pair tokenizer of this library cuts a text before it merges, and one place where it always
 cuts is before a white-space character that a visible one follows. The text is cut there, each
-distinct piece of a batch is encoded once, and the ids are put together again in numpy. The ids
-equal those of `tokenizers` on the whole text (tests/llm compares them). A text that holds a mark of
-the file's added tokens, such as an end-of-text mark, is encoded by the library as a whole.
+distinct piece of a slice of the texts is encoded once, all of them in one call, and the ids are put
+together again in numpy. The ids equal those of `tokenizers` on the whole text (tests/llm compares
+them). A text that holds a mark of the file's added tokens, such as an end-of-text mark, is encoded
+by the library as a whole.
 
 Pieces are encoded by a byte-pair encoder that takes merges by rank, fed with the vocabulary and
 merges of the tokenizer file. That gives what the file's own merge list gives if each token of the
@@ -18,7 +19,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -29,10 +29,9 @@ from .shared import column_bytes, ranges
 
 #: Pattern by which byte-level tokenizers of this kind cut a text; a fixed value of the format.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 _WORD_PARTS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+")
-#: Pieces in each of the two generations of a worker's cache.
-_CACHE_LIMIT = 250_000
+#: Ids of pieces, all in one array, and how many each has.
+Encoded = tuple[np.ndarray, np.ndarray]
 
 
 @lru_cache(maxsize=1)
@@ -65,9 +64,39 @@ def marks(path: str) -> tuple[bytes, ...]:
     return tuple(sorted(t.content.encode() for t in library(path).get_added_tokens_decoder().values()))
 
 
+def _white(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def _visible(data: np.ndarray) -> np.ndarray:
+    """Neither white space nor a control byte nor the start of a rare space."""
+    return (data > 32) & (data != 127) & (data != 0xC2) & ((data < 0xE1) | (data > 0xE3))
+
+
+def _piece_numbers(off: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return np.searchsorted(off, places, "right") - 1
+
+
+def _woven(first: Encoded, first_at: np.ndarray, other: dict[int, np.ndarray], n: int) -> Encoded:
+    """Ids of n pieces: those at first_at, in order, and single ones."""
+    ids, size = first
+    if not other:
+        return ids, size
+    sizes = np.zeros(n, np.int64)
+    sizes[first_at] = size
+    for i, x in other.items():
+        sizes[i] = len(x)
+    begin = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.uint16)
+    out[ranges(begin[first_at], size)] = ids
+    for i, x in other.items():
+        out[begin[i] : begin[i] + len(x)] = x
+    return out, sizes
+
+
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids of pieces as little-endian 16-bit integers, for a tokenizer file."""
+def encoder(path: str) -> Callable[[np.ndarray, np.ndarray], Encoded]:
+    """Ids of pieces, given as offsets and bytes, for a tokenizer file."""
     import tiktoken
 
     own = library(path)
@@ -78,61 +107,84 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     if max(vocab.values()) >= 1 << 16:
         raise ValueError("ids must fit 16 bits")
 
-    def slow(text: str) -> bytes:
-        return np.array(own.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
+    def text_of(off: np.ndarray, data: np.ndarray, i: int) -> str:
+        return data[off[i] : off[i + 1]].tobytes().decode("utf-8", "replace")
 
     if not suffix:
         specials = {t.content for t in own.get_added_tokens_decoder().values()}
-        enc = tiktoken.Encoding("bytes", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks={_raw(t): i for t, i in vocab.items() if t not in specials}, special_tokens={})
-        return lambda pieces: [array("H", enc.encode_ordinary(text)).tobytes() for text in pieces]
+        ranks = {_raw(t): i for t, i in vocab.items() if t not in specials}
+        bytes_of = np.zeros(1 << 16, np.int64)
+        bytes_of[list(ranks.values())] = [len(t) for t in ranks]
+        enc = tiktoken.Encoding("bytes", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+        def by_bytes(off: np.ndarray, data: np.ndarray) -> Encoded:
+            """Pieces that begin with white space and a visible character are cut from what stands
+            before them, whatever it is: they are encoded as one text, and told apart by the bytes of
+            their tokens."""
+            n = len(off) - 1
+            led = _white(data[off[:-1]]) & (np.diff(off) > 1)
+            led[led] = _visible(data[off[:-1][led] + 1])
+            at, rest = np.flatnonzero(led), np.flatnonzero(~led)
+            lens = np.diff(off)[at]
+            whole = data if not len(rest) else data[ranges(off[:-1][at], lens)]
+            ids = np.array(enc.encode_ordinary(whole.tobytes().decode("utf-8", "replace")), np.uint16)
+            ends = np.searchsorted(np.cumsum(bytes_of[ids]), np.cumsum(lens)) + 1
+            sizes = np.diff(ends, prepend=0)
+            return _woven((ids, sizes), at, {int(i): np.array(enc.encode_ordinary(text_of(off, data, i)), np.uint16) for i in rest}, n)
+
+        return by_bytes
 
     # Word ends: the suffix is one more byte after the word, which its last byte takes up first.
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-    end, ranks, ids = b"\x01", {}, {}
+    end, ranks, ids_of = b"\x01", {}, {}
     letters = _byte_letters()
     for letter, b in letters.items():
         ranks[bytes([b]) + end] = b
-        ids[b] = vocab[letter + suffix]
+        ids_of[b] = vocab[letter + suffix]
         ranks[bytes([b])] = 1_000_000 + b
-        ids[1_000_000 + b] = vocab[letter]
+        ids_of[1_000_000 + b] = vocab[letter]
     for i, (left, right) in enumerate(merges):
         token = left + right
         whole = _raw(token[: -len(suffix)]) + end if token.endswith(suffix) else _raw(token)
         ranks.setdefault(whole, 1000 + i)
-        ids[1000 + i] = vocab[token]
+        ids_of[1000 + i] = vocab[token]
     enc = tiktoken.Encoding("words", pat_str=r"[^\x01]+\x01", mergeable_ranks=ranks, special_tokens={})
-
     id_of = np.zeros(1_000_256, np.uint16)
-    id_of[list(ids)] = list(ids.values())
-
-    def fast(pieces: list[str]) -> list[bytes]:
-        """All plain words in one call, told apart by a line feed, which is in none of them."""
-        out: list[bytes] = [b""] * len(pieces)
-        plain = []
-        for i, text in enumerate(pieces):
-            word = text.strip(" \t\n\r\x0b\x0c")
-            if _PLAIN.fullmatch(word):
-                plain.append((i, word))
-            elif word:
-                out[i] = slow(text)
-        if plain:
-            parts = _WORD_PARTS.findall("\n".join([w for _, w in plain]).lower())
-            ranks_ = np.array(enc.encode_ordinary("\x01".join(parts) + "\x01"), np.int64)
-            ends = [*(np.flatnonzero(ranks_ == 10) * 2).tolist(), 2 * len(ranks_)]  # rank 10: a line feed as a word
-            blob = id_of[ranks_].tobytes()
-            at = 0
-            for (i, _), e in zip(plain, ends, strict=True):
-                out[i] = blob[at:e]
-                at = e + 2
-        return out
-
-    return fast
-
-
-_CACHES: dict[str, tuple[dict[bytes, bytes], dict[bytes, bytes]]] = {}
-
-
-def encode_texts(path: str, texts: pa.Array, slice_bytes: int = 6 << 20):  # noqa: ANN201
+    id_of[list(ids_of)] = list(ids_of.values())
+
+    def by_words(off: np.ndarray, data: np.ndarray) -> Encoded:
+        """Pieces of visible ASCII and of Latin letters with accents, white space around them left
+        out, are encoded as one text, told apart by line feeds, which are in none of them."""
+        n = len(off) - 1
+        white = _white(data)
+        after = np.append(data[1:], np.uint8(0))
+        before = np.concatenate((np.zeros(1, np.uint8), data[:-1]))
+        accent = (data == 0xC3) & (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+        known = white | ((data >= 0x21) & (data <= 0x7E)) | accent | ((before == 0xC3) & (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7))
+        plain = np.ones(n, bool)
+        plain[_piece_numbers(off, np.flatnonzero(~known))] = False
+        rest = np.flatnonzero(~plain)
+        keep = ~white
+        if len(rest):
+            keep[ranges(off[:-1][rest], np.diff(off)[rest])] = False
+        kept = np.concatenate(([0], np.cumsum(keep)))
+        at = np.flatnonzero(plain)
+        lens = (kept[off[1:]] - kept[off[:-1]])[at]
+        joined = np.full(int(lens.sum()) + len(at), 10, np.uint8)
+        joined[ranges(np.cumsum(lens + 1) - lens - 1, lens)] = data[keep]
+        first: Encoded = (np.zeros(0, np.uint16), np.zeros(0, np.int64))
+        if len(at):
+            parts = _WORD_PARTS.findall(joined.tobytes().decode().lower())
+            got = np.array(enc.encode_ordinary("\x01".join(parts) + "\x01"), np.int64)
+            feed = got == 10  # a line feed as a word
+            ends = np.flatnonzero(feed)
+            first = (id_of[got[~feed]], np.diff(ends, prepend=-1) - 1)
+        return _woven(first, at, {int(i): np.array(own.encode(text_of(off, data, i), add_special_tokens=False).ids, np.uint16) for i in rest}, n)
+
+    return by_words
+
+
+def encode_texts(path: str, texts: pa.Array, slice_bytes: int = 8 << 20):  # noqa: ANN201
     """Yields (first row, token offsets of the rows, uint16 ids) for slices of a string column."""
     off, data = column_bytes(texts)
     n, at = len(off) - 1, 0
@@ -145,29 +197,18 @@ def encode_texts(path: str, texts: pa.Array, slice_bytes: int = 6 << 20):  # noq
 def _encode_slice(path: str, off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(data):
         return np.zeros(len(off), np.int64), np.zeros(0, np.uint16)
-    ws = (data == 32) | ((data >= 9) & (data <= 13))
-    nxt = data[1:]
-    # the next byte is visible: not white space, a control byte, or the start of a rare space
-    seen = (nxt > 32) & (nxt != 127) & (nxt != 0xC2) & ((nxt < 0xE1) | (nxt > 0xE3))
+    ws = _white(data)
+    here = np.ones(len(data) + 1, bool)
+    here[:-2] = ws[:-1] & _visible(data[1:])
+    here[-2] = False
     edge = off[1:-1] - 1
-    seen[edge[(edge >= 0) & (edge < len(seen))]] = False  # the next byte is another document's
-    cuts = np.flatnonzero(ws[:-1] & seen)
-    starts = off[:-1][np.diff(off) > 0]
-    bounds = np.unique(np.concatenate((cuts, starts, [len(data)])))
+    here[edge[edge >= 0]] = False  # the next byte is another document's
+    here[off[:-1][np.diff(off) > 0]] = True
+    bounds = np.flatnonzero(here)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
-    young, old = _CACHES.setdefault(path, ({}, {}))
-    if len(young) > _CACHE_LIMIT:
-        young, old = _CACHES[path] = ({}, young)
-    distinct = coded.dictionary.to_pylist()
-    got = [young.get(w) or old.get(w) for w in distinct]
-    missing = [i for i, x in enumerate(got) if x is None]
-    for i, x in zip(missing, encoder(path)([distinct[i].decode("utf-8", "replace") for i in missing]), strict=True):
-        got[i] = x
-    young.update(zip(distinct, got, strict=True))
-    flat = np.frombuffer(b"".join(got), np.uint16)
-    size = np.fromiter(map(len, got), np.int64, len(got)) // 2
+    flat, size = encoder(path)(*column_bytes(coded.dictionary))
     begin = np.cumsum(size) - size
     lens = size[codes]
     ids = flat[ranges(begin[codes], lens)]
