@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column_bytes, distinct, documents_of, lower_ascii, ranges, runs, word_hashes
+from .shared import column_bytes, documents_of, lower_ascii, ranges, runs, sorted_distinct, word_hashes
 
 _BINS = 16
 _SLICE = 1 << 20
@@ -82,7 +82,7 @@ def weights(docs: DataFrame) -> np.ndarray:
             for _, h, at in slices(b["text"]):
                 n = len(at) - 1
                 doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(at))
-                key = distinct((doc << _BINS) | (h >> np.uint64(64 - _BINS)).astype(np.int64))
+                key = sorted_distinct((doc << _BINS) | (h >> np.uint64(64 - _BINS)).astype(np.int64))
                 count[:-1] += np.bincount(key & ((1 << _BINS) - 1), minlength=1 << _BINS)
                 count[-1] += n
         some = np.flatnonzero(count)

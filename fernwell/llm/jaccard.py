@@ -10,11 +10,14 @@ threshold; the result is one row per document with the component of links it lie
 3. *Small sets* enumerate the two-element subsets of their prefix, *large sets* put their prefix
    into inverted lists; the boundary is where the subsets become dearer than the entries of the
    lists, whose mean length is measured. Sets just below the boundary do both.
-4. Lists are not expanded into pairs. In two rounds each list checks its members against one pivot;
-   lists whose members are in one component by then are done. Members of the others are compared
-   in blocks of bounded size: a task holds two blocks, compares what lies in different components,
-   and returns a spanning forest of the links it finds, so that rows out are at most rows in.
-   Lists that overlap much are compared as one group, where that costs less than one by one.
+4. Lists are not expanded into pairs. In two rounds each list checks its members against one pivot.
+   What links to the pivot leaves the list with it: by the triangle inequality of the Jaccard
+   distance its links to the others of the list can only be to those that are near the pivot, and
+   these are compared with all of the pivot's component. What is left of lists with members of more
+   than one component is compared at last. Both comparisons are made in blocks of bounded size: a
+   task holds two blocks, compares what lies in different components, and returns a spanning forest
+   of the links it finds, so that rows out are at most rows in. Lists that overlap much are compared
+   as one group, where that costs less than one by one.
 
 A shingle that only one document has cannot be shared; what is left of a set bounds its overlap,
 and pairs that this bound rules out are never compared. Shingles are 64-bit hashes: two different
@@ -41,7 +44,7 @@ from .shared import (
     components,
     cut_by_bucket,
     discard,
-    distinct,
+    sorted_distinct,
     documents_of,
     in_blocks,
     lower_ascii,
@@ -100,7 +103,7 @@ def _sets_of_slice(off: np.ndarray, data: np.ndarray, words: int) -> list[np.nda
     out = []
     for f, c in zip(first.tolist(), counts.tolist(), strict=True):
         if c >= words:
-            out.append(distinct(roll[f : f + c - words + 1]))
+            out.append(sorted_distinct(roll[f : f + c - words + 1]))
         elif c:
             x = np.array([c], np.uint64)
             for v in h[f : f + c]:
@@ -337,12 +340,16 @@ def _common(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _resolve(lists: DataFrame, percent: int, pivot_rounds: int, block_tokens: int) -> DataFrame:
     """(node, component) of the links between the classes of the lists."""
-    bodies = lists.where("sig IS NULL").select("v", "body")
+    bodies = lists.where("sig IS NULL").select("v", "n", "u", "body")
+    slim = bodies.select("v", "n", "u")
     entries = lists.where("sig IS NOT NULL").select("sig", "v", "n", "u", F.col("v").alias("c"))
     # overlaps are at most what both sets can share
+    most = F.least("ua", "ub")
     fits = f"100 * least(ua, ub) >= {percent} * (na + nb - least(ua, ub))"
     link = f"100 * common >= {percent} * (na + nb - common)"
+    near_limit = max(0, 2 * percent - 100)
     comp: DataFrame | None = None
+    open_: DataFrame | None = None
     for k in range(pivot_rounds):
         # open lists: their members are in more than one component. The pivot is of the component
         # that most of them are in, and of these the one with the fewest shingles of its own
@@ -352,21 +359,32 @@ def _resolve(lists: DataFrame, percent: int, pivot_rounds: int, block_tokens: in
             heads = per.groupBy("sig").agg(F.max(F.struct("m", "p")).alias("q"), F.min("c").alias("x"), F.max("c").alias("y")).withColumn("p", F.col("q.p"))
         else:
             heads = entries.groupBy("sig").agg(F.max(best).alias("p"), F.min("c").alias("x"), F.max("c").alias("y"))
-        heads = heads.where("x < y").select("sig", F.col("p.c").alias("pc"), F.col("p.v").alias("a"), F.col("p.n").alias("na"), F.col("p.u").alias("ua"))
-        member = entries.select("sig", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub"), "c").join(heads, "sig").where("c <> pc")
+        heads = heads.where("x < y").select("sig", F.col("p.v").alias("a"), F.col("p.n").alias("na"), F.col("p.u").alias("ua"))
+        member = entries.select("sig", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub")).join(heads, "sig").where("a <> b")
         pairs = member.where(fits).select("a", "b", "na", "nb").distinct()
         left = bodies.select(F.col("v").alias("a"), F.col("body").alias("body_a"))
         right = bodies.select(F.col("v").alias("b"), F.col("body").alias("body_b"))
-        done = pairs.join(left, "a").join(right, "b").mapInArrow(_common, "a long, b long, na long, nb long, common long")
-        found = stash(done.where(link).select("a", "b"), "pairs")
-        before, comp = comp, components(_with(found, comp), "classes")
-        entries = _open_entries(lists, comp)
-        discard(found, *([before] if before is not None else []))
-    extra = _block_links(entries, bodies, percent, block_tokens)
-    if extra is None:
-        return comp
+        done = stash(pairs.join(left, "a").join(right, "b").mapInArrow(_common, "a long, b long, na long, nb long, common long"), "pairs")
+        before, comp = comp, components(_with(done.where(link).select("a", "b"), comp), "classes")
+        # members with what is known of their distance to the pivot
+        at = member.join(done.select("a", "b", "common"), ["a", "b"], "left").withColumn("linked", F.coalesce(F.expr(link), F.lit(False)))
+        top = F.coalesce("common", most)
+        at = stash(at.where("NOT linked").select("sig", "a", "b", F.col("nb").alias("n"), F.col("ub").alias("u"), (100 * top >= near_limit * (F.col("na") + F.col("nb") - top)).alias("near")), "left")
+        discard(done, *(x for x in (before, open_) if x is not None))
+        extra = _near_links(at, comp, slim, bodies, percent, block_tokens)
+        if extra is not None:
+            before, comp = comp, components(_with(extra, comp), "classes")
+            discard(extra, before)
+        rest = at.select("sig", F.col("b").alias("v"), "n", "u").join(comp.withColumnRenamed("node", "v"), "v", "left")
+        rest = rest.select("sig", "v", "n", "u", F.coalesce("component", "v").alias("c"))
+        still = rest.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("sig")
+        entries = open_ = stash(rest.join(still, "sig"), "open")
+        discard(at)
+        if entries.isEmpty():
+            return comp
+    extra = _list_links(entries, bodies, percent, block_tokens)
     out = components(_with(extra, comp), "classes")
-    discard(extra, comp)
+    discard(extra, comp, entries)
     return out
 
 
@@ -375,50 +393,70 @@ def _with(found: DataFrame, comp: DataFrame | None) -> DataFrame:
     return found if comp is None else found.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b")))
 
 
-def _open_entries(lists: DataFrame, comp: DataFrame) -> DataFrame:
-    """Entries of the lists whose members are in more than one component c."""
-    all_ = lists.where("sig IS NOT NULL").select("sig", "v", "n", "u").join(comp.withColumnRenamed("node", "v"), "v", "left")
-    all_ = all_.select("sig", "v", "n", "u", F.coalesce("component", "v").alias("c"))
-    still = all_.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("sig")
-    return all_.join(still, "sig")
+def _near_links(at: DataFrame, comp: DataFrame, slim: DataFrame, bodies: DataFrame, percent: int, block_tokens: int) -> DataFrame | None:
+    """Links of what is near a pivot (a; b near it) to the members of the pivot's component."""
+    where = comp.select(F.col("node").alias("v"), F.col("component").alias("c"))
+    near = (
+        at.where("near").select(F.col("a"), F.col("b").alias("v"), "n", "u").distinct()
+        .join(where.select(F.col("v").alias("a"), F.col("c").alias("g")), "a")
+        .join(where, "v", "left").select("g", "v", "n", "u", F.coalesce("c", "v").alias("c")).where("c <> g").distinct()
+    )
+    near = stash(near, "near")
+    if near.isEmpty():
+        discard(near)
+        return None
+    own = where.join(near.select(F.col("g").alias("c")).distinct(), "c", "left_semi").join(slim, "v")
+    members = near.unionByName(own.select(F.col("c").alias("g"), "v", "n", "u", "c"))
+    found = _block_links(members, bodies, percent, block_tokens)
+    discard(near)
+    return found
 
 
-def _block_links(entries: DataFrame, bodies: DataFrame, percent: int, block_tokens: int) -> DataFrame | None:
-    """A spanning forest (a, b) of the links between members of one list and different components;
-    None where no list is open."""
-    e = stash(entries, "open")
-    if e.isEmpty():
-        discard(e)
-        return None
+def _list_links(e: DataFrame, bodies: DataFrame, percent: int, block_tokens: int) -> DataFrame:
+    """Links between members of one list and different components."""
     # groups of lists that share members: one comparison of the group, or one for each list
-    low = e.groupBy("sig").agg(F.min("v").alias("w"), F.count("*").cast("double").alias("m"))
+    low = e.groupBy("sig").agg(F.min("v").alias("w"))
     edges = e.join(low, "sig").select(F.col("v").alias("a"), F.col("w").alias("b"))
     group = components(edges, "groups").withColumnRenamed("node", "v").withColumnRenamed("component", "k")
     named = stash(e.join(group, "v").select("sig", "v", "n", "u", "c", "k"), "named")
     by_list = named.groupBy("sig", "k").agg(F.count("*").cast("double").alias("m")).groupBy("k").agg(F.sum(F.col("m") * F.col("m")).alias("one_by_one"))
     by_group = named.select("k", "v").distinct().groupBy("k").agg(F.count("*").cast("double").alias("m"))
-    whole = by_group.join(by_list, "k").select("k", (F.col("m") * F.col("m") <= F.col("one_by_one")).alias("whole"))
-    member = named.join(whole, "k").select(F.when(F.col("whole"), F.col("k")).otherwise(F.col("sig")).alias("g"), "whole", "v", "n", "u", "c").distinct()
+    # one row a group; repeated under salts, as a group may have a third of the rows
+    whole = by_group.join(by_list, "k").select("k", (F.col("m") * F.col("m") <= F.col("one_by_one")).alias("whole"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    salted = named.withColumn("salt", F.pmod(F.xxhash64("v", "sig"), F.lit(_SALTS)).cast("int")).join(whole, ["k", "salt"])
+    members = salted.select(F.when(F.col("whole"), F.xxhash64("k", F.lit(1))).otherwise(F.xxhash64("sig", F.lit(2))).alias("g"), "v", "n", "u", "c").distinct()
+    found = _block_links(members, bodies, percent, block_tokens)
+    discard(named, group)
+    return found
+
+
+_SALTS = 32
+
+
+def _block_links(member: DataFrame, bodies: DataFrame, percent: int, block_tokens: int) -> DataFrame:
+    """A spanning forest (a, b) of the links between members (g, v, n, u, c) of one group g and
+    different components c."""
     # blocks: large components have their own, small ones share
-    size = member.groupBy("g", "whole", "c").agg(F.sum("n").alias("t"))
+    member = stash(member, "members")
+    size = member.groupBy("g", "c").agg(F.sum("n").alias("t"))
     size = size.withColumn("big", F.col("t") >= block_tokens // 2)
-    rest = size.where("NOT big").groupBy("g", "whole").agg(F.ceil(F.sum("t") / block_tokens).cast("int").alias("parts"))
-    size = size.join(rest, ["g", "whole"], "left").select(
-        "g", "whole", "c", "big", F.when(F.col("big"), F.ceil(F.col("t") / block_tokens).cast("int")).otherwise(F.col("parts")).alias("parts")
+    rest = size.where("NOT big").groupBy("g").agg(F.ceil(F.sum("t") / block_tokens).cast("int").alias("parts"))
+    size = size.join(rest, "g", "left").select(
+        "g", "c", "big", F.when(F.col("big"), F.ceil(F.col("t") / block_tokens).cast("int")).otherwise(F.col("parts")).alias("parts")
     )
-    dealt = member.join(size, ["g", "whole", "c"]).select(
-        "g", "whole", "v", "n", "u", "c",
+    dealt = member.join(size, ["g", "c"]).select(
+        "g", "v", "n", "u", "c",
         F.when(F.col("big"), F.col("c")).alias("own"), F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("i"),
     ).withColumn("block", F.xxhash64("own", "i"))
     dealt = stash(dealt, "dealt")
-    blocks = dealt.select("g", "whole", "block", "own").distinct()
-    x = blocks.select("g", "whole", F.col("block").alias("x"), F.col("own").alias("ox"))
-    y = blocks.select("g", "whole", F.col("block").alias("y"), F.col("own").alias("oy"))
+    blocks = dealt.select("g", "block", "own").distinct()
+    x = blocks.select("g", F.col("block").alias("x"), F.col("own").alias("ox"))
+    y = blocks.select("g", F.col("block").alias("y"), F.col("own").alias("oy"))
     # two blocks of one large component have nothing to compare
-    couples = x.join(y, ["g", "whole"]).where("x <= y AND NOT coalesce(ox = oy, false)").select("g", "whole", "x", "y")
-    task = F.xxhash64("g", "whole", "x", "y").alias("task")
-    left = dealt.join(couples.withColumn("block", F.col("x")), ["g", "whole", "block"])
-    right = dealt.join(couples.where("x <> y").withColumn("block", F.col("y")), ["g", "whole", "block"])
+    couples = x.join(y, "g").where("x <= y AND NOT coalesce(ox = oy, false)").select("g", "x", "y")
+    task = F.xxhash64("g", "x", "y").alias("task")
+    left = dealt.join(couples.withColumn("block", F.col("x")), ["g", "block"])
+    right = dealt.join(couples.where("x <> y").withColumn("block", F.col("y")), ["g", "block"])
     sides = left.select(task, F.lit(0).alias("side"), "v", "n", "u", "c").unionByName(right.select(task, F.lit(1).alias("side"), "v", "n", "u", "c"))
 
     def run(t: pa.Table) -> pa.Table:
@@ -455,6 +493,6 @@ def _block_links(entries: DataFrame, bodies: DataFrame, percent: int, block_toke
                 label[label == r] = label[k]
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
-    found = stash(sides.join(bodies, "v").groupBy("task").applyInArrow(run, "a long, b long"), "block_links")
-    discard(e, named, dealt, group)
+    found = stash(sides.join(bodies.select("v", "body"), "v").groupBy("task").applyInArrow(run, "a long, b long"), "block_links")
+    discard(member, dealt)
     return found

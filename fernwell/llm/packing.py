@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, distinct, ranges
+from .shared import bounded_batches, ranges, sorted_distinct
 from .tokens import encode_texts
 
 _END_MARKS = (".", "!", "?", "…", "。", "！", "？")
@@ -107,7 +107,7 @@ class Packer:
         target = whole
         if whole:
             sent = np.flatnonzero(self.ends[ids]) + 1
-            marks = distinct(np.concatenate(([0], sent, doc_ends)))
+            marks = sorted_distinct(np.concatenate(([0], sent, doc_ends)))
             gap = np.diff(marks)
             extra = (gap - 1) // self.step
             inner = np.repeat(marks[:-1], extra) + ranges(np.ones(len(extra), np.int64), extra) * self.step

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, column_bytes, distinct, lower_ascii, runs, word_bounds, word_hashes
+from .shared import bounded_batches, column_bytes, lower_ascii, runs, sorted_distinct, word_bounds, word_hashes
 
 WORD_BITS, RANK, INTERVALS = 15, 8, 8
 N_STATS = 18
@@ -69,7 +69,7 @@ def extract(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     same[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])
     # lines
     feed = data == 10
-    line_bounds = distinct(np.concatenate((off, np.flatnonzero(feed) + 1)))
+    line_bounds = sorted_distinct(np.concatenate((off, np.flatnonzero(feed) + 1)))
     ldoc = np.searchsorted(off, line_bounds[:-1], "right") - 1
     lh = word_hashes(data, line_bounds[:-1], line_bounds[1:])
     lorder = np.lexsort((lh, ldoc))

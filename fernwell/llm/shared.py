@@ -247,7 +247,7 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return data + (upper * np.uint8(32)) if upper.any() else data
 
 
-def distinct(values: np.ndarray) -> np.ndarray:
+def sorted_distinct(values: np.ndarray) -> np.ndarray:
     """The distinct values in order, by sorting."""
     s = np.sort(values)
     return s[runs(s)]
