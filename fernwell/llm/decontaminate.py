@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column_bytes, documents_of, lower_ascii, ranges, runs, sorted_distinct, word_hashes
+from .shared import column_bytes, documents_of, lower_ascii, ranges, runs, sorted_distinct, word_bounds, word_hashes
 
 _BINS = 16
 _SLICE = 1 << 20
@@ -48,14 +48,9 @@ _SENTENCE = re.compile(r"[.!?。！？]+(?=\s|$)|\n")
 def words_of(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (runs of ASCII letters and digits and of all other scripts' bytes,
     lower-cased in A-Z) and the first word of each document (documents + 1)."""
-    n = len(off) - 1
     low = lower_ascii(data)
-    spaced = np.full(len(low) + n, 32, np.uint8)
-    spaced[np.arange(len(low)) + np.repeat(np.arange(n), np.diff(off))] = low
-    inside = ((spaced >= 97) & (spaced <= 122)) | ((spaced >= 48) & (spaced <= 57)) | (spaced >= 128)
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
-    s, e = edge[0::2], edge[1::2]
-    return word_hashes(spaced, s, e), np.searchsorted(s, off + np.arange(n + 1))
+    s, e, first = word_bounds(low, off, ((low >= 97) & (low <= 122)) | ((low >= 48) & (low <= 57)) | (low >= 128))
+    return word_hashes(low, s, e), first
 
 
 def slices(col: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

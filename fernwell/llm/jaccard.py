@@ -80,19 +80,9 @@ def shingle_sets(off: np.ndarray, data: np.ndarray, words: int, slice_bytes: int
 def _sets_of_slice(off: np.ndarray, data: np.ndarray, words: int) -> list[np.ndarray]:
     n_docs = len(off) - 1
     data = lower_ascii(data)
-    # a separator after each document keeps words from running together
-    lens = np.diff(off)
-    if n_docs and len(data):
-        spaced = np.full(len(data) + n_docs, 32, np.uint8)
-        shift = np.repeat(np.arange(n_docs), lens)
-        spaced[np.arange(len(data)) + shift] = data
-        starts = off[:-1] + np.arange(n_docs)
-    else:
-        return [np.zeros(0, np.uint64) for _ in range(n_docs)]
-    s, e = word_bounds(spaced)
-    h = word_hashes(spaced, s, e)
-    first = np.searchsorted(s, starts)
-    counts = np.diff(np.append(first, len(s)))
+    s, e, first = word_bounds(data, off)
+    h = word_hashes(data, s, e)
+    counts, first = np.diff(first), first[:-1]
     if len(h) >= words:
         roll = np.zeros(len(h) - words + 1, np.uint64)
         for i in range(words):

@@ -44,16 +44,12 @@ def extract(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     bounds (documents + 1)."""
     n = len(off) - 1
     size = np.diff(off).astype(np.float64)
-    spaced = np.full(len(data) + n, 32, np.uint8)
-    spaced[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(off))] = data
-    soff = off + np.arange(n + 1)
     upper = ((data >= 65) & (data <= 90)).astype(np.int8)
     upper[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)
     letter = (((data | 32) >= 97) & ((data | 32) <= 122)) | (data >= 0xC3)
-    s, e = word_bounds(spaced)
-    at = np.searchsorted(s, soff)
+    s, e, at = word_bounds(data, off)
     words = np.diff(at).astype(np.float64)
-    h = word_hashes(lower_ascii(spaced), s, e)
+    h = word_hashes(lower_ascii(data), s, e)
     doc = np.repeat(np.arange(n), np.diff(at))
     # distinct words of each document and how often each occurs
     order = np.lexsort((h, doc))

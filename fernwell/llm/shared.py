@@ -157,7 +157,7 @@ def _fold(x: np.ndarray) -> np.ndarray:
 def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each base its powers 0.. and those of its inverse, n of each at least."""
     if not _POWERS or len(_POWERS[0][0]) < n:
-        size = max(n, 1 << 16)
+        size = 1 << max(16, (n - 1).bit_length())
         _POWERS.clear()
         for base in BASES:
             both = []
@@ -235,11 +235,20 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return h
 
 
-def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of bytes other than space and 0x09-0x0D."""
-    ws = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], ws, [True])).astype(np.int8)))
-    return edge[0::2], edge[1::2]
+def word_bounds(data: np.ndarray, off: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of documents with these bounds, and the first word of each
+    document (documents + 1). Words are runs of the bytes that are inside, if not stated of those
+    other than space and 0x09-0x0D; none goes on into the next document."""
+    if inside is None:
+        inside = (data > 32) | (data < 9) | ((data > 13) & (data < 32))
+    edge = np.zeros(len(data) + 1, bool)
+    edge[0] = edge[-1] = True
+    np.not_equal(inside[1:], inside[:-1], out=edge[1:-1])
+    edge[off] = True
+    at = np.flatnonzero(edge)
+    live = inside[at[:-1]] if len(data) else np.zeros(0, bool)
+    s, e = at[:-1][live], at[1:][live]
+    return s, e, np.searchsorted(s, off)
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
@@ -260,6 +269,14 @@ def runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1])))
 
 
+def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals, whose starts ascend and whose ends do too, with those joined that meet or overlap."""
+    if not len(starts):
+        return starts, ends
+    new = np.append(True, starts[1:] > ends[:-1])
+    return starts[new], ends[np.append(np.flatnonzero(new)[1:] - 1, len(ends) - 1)]
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenation of arange(s, s + n) for each s and n."""
     total = int(lengths.sum())

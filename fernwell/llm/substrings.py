@@ -46,6 +46,7 @@ from .shared import (
     cut_by_bucket,
     documents_of,
     in_blocks,
+    merged,
     mix,
     planes,
     prefix_hash,
@@ -88,7 +89,7 @@ def _twice(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes with at most two copies of each, and where each hash of the input stands."""
     if not len(hashes):
         return hashes, np.zeros(0, np.int64)
-    order = np.argsort(hashes, kind="stable")
+    order = np.argsort(hashes)
     s = hashes[order]
     first = runs(s)
     n = np.diff(np.append(first, len(s)))
@@ -127,15 +128,11 @@ class _Passages:
     """The words of a block's documents, and which windows of them other documents have."""
 
     def __init__(self, b: _Block, words: int) -> None:
-        n = len(b.off) - 1
-        spaced = np.full(len(b.data) + n, 32, np.uint8)
-        spaced[np.arange(len(b.data)) + np.repeat(np.arange(n), np.diff(b.off))] = b.data
-        s, e = word_bounds(spaced)
+        s, e, self.at = word_bounds(b.data, b.off)
         self.words = words
         self.prime = max(p for p in (1, 2, 3, 5, 7, 11) if p * p + p + 1 < words) if words > 3 else 1
         self.v, self.cover = difference_cover(self.prime) if self.prime > 1 else (1, (0,))
-        self.at = np.searchsorted(s, b.off + np.arange(n + 1))
-        self.hash = word_hashes(spaced, s, e)
+        self.hash = word_hashes(b.data, s, e)
         pos = b.cover_places(np.diff(self.at), self.at[:-1], words, self.v, self.cover)
         self.pos = np.sort(pos)
         self.sample, self.sample_place = self.by_document(self.pos, words - self.v + 1)
@@ -153,7 +150,7 @@ class _Passages:
         each place stands among them."""
         h = self.windows(pos, size)
         doc = np.searchsorted(self.at, pos, "right") - 1
-        order = np.lexsort((h, doc))
+        order = np.argsort(h, kind="stable")  # equal hashes stay in the order of documents
         hs, ds = h[order], doc[order]
         new = np.ones(len(hs), bool)
         new[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
@@ -163,28 +160,34 @@ class _Passages:
 
     def open_windows(self, again: np.ndarray) -> np.ndarray:
         """Starts of windows in whose first v words a sample that another document has stands."""
-        p = self.pos[again[self.sample_place]]
-        mark = np.zeros(len(self.hash) + 1, np.int32)
-        doc = np.searchsorted(self.at, p, "right") - 1
-        lo = np.maximum(p - self.v + 1, self.at[doc])
-        hi = np.minimum(p, self.at[doc + 1] - self.words)
-        ok = hi >= lo
-        np.add.at(mark, lo[ok], 1)
-        np.add.at(mark, hi[ok] + 1, -1)
-        return np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+        return _starts(self.pos[again[self.sample_place]], self.at, self.v, self.words)
 
     def totals(self, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maximal runs of words under the windows from these starts, and words in them."""
-        mark = np.zeros(len(self.hash) + 1, np.int32)
-        np.add.at(mark, start, 1)
-        np.add.at(mark, start + self.words, -1)
-        inside = np.cumsum(mark[:-1]) > 0
-        head = inside.copy()
-        head[1:] &= ~inside[:-1]
-        head[self.at[:-1][np.diff(self.at) > 0]] = inside[self.at[:-1][np.diff(self.at) > 0]]
-        n = len(self.at) - 1
-        doc = np.repeat(np.arange(n), np.diff(self.at))
-        return np.bincount(doc[head], minlength=n), np.bincount(doc[inside], minlength=n)
+        return _by_document(start, self.words, self.at)[2:]
+
+
+def _starts(p: np.ndarray, bounds: np.ndarray, v: int, length: int) -> np.ndarray:
+    """Starts of strings of a length, within documents, in whose first v places one of p lies."""
+    p = np.sort(p)
+    doc = np.searchsorted(bounds, p, "right") - 1
+    lo, hi = np.maximum(p - v + 1, bounds[doc]), np.minimum(p, bounds[doc + 1] - length) + 1
+    ok = hi > lo
+    a, b = merged(lo[ok], hi[ok])
+    return ranges(a, b - a)
+
+
+def _by_document(start: np.ndarray, length: int, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Maximal runs (start, end) under strings of a length from ascending starts, none across two
+    documents, and for each document its runs and the places in them."""
+    doc = np.searchsorted(bounds, start, "right") - 1
+    new = np.ones(len(start), bool)
+    new[1:] = (start[1:] > start[:-1] + length) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    a = start[first]
+    b = start[np.append(first[1:], len(start)) - 1] + length if len(first) else a
+    n = len(bounds) - 1
+    return a, b, np.bincount(doc[first], minlength=n), np.bincount(doc[first], b - a, minlength=n).astype(np.int64)
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -222,15 +225,7 @@ class _Block:
 
     def candidates(self, pos: np.ndarray, again: np.ndarray) -> np.ndarray:
         """Starts whose string may repeat: a repeated sample lies in its first v bytes."""
-        p = pos[again]
-        mark = np.zeros(len(self.data) + 1, np.int32)
-        doc = np.searchsorted(self.off, p, "right") - 1
-        lo = np.maximum(p - self.v + 1, self.off[doc])
-        hi = np.minimum(p, self.off[doc + 1] - self.length)
-        ok = hi >= lo
-        np.add.at(mark, lo[ok], 1)
-        np.add.at(mark, hi[ok] + 1, -1)
-        return np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+        return _starts(pos[again], self.off, self.v, self.length)
 
     def stretches(self, cand: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each candidate its stretch (-1: none) and, for each stretch, its candidates' first
@@ -370,17 +365,17 @@ def remove_repeats(docs: DataFrame, length: int = 400, prime: int = 17, block_by
             where = np.flatnonzero(send)
             if len(where):
                 hit[where] |= codes[at] > 0
-            mark = np.zeros(len(b.data) + 1, np.int32)
-            np.add.at(mark, cand[hit], 1)
-            np.add.at(mark, cand[hit] + length, -1)
-            gone = np.cumsum(mark[:-1]) > 0
+            from_, to, runs_, gone = _by_document(cand[hit], length, b.off)
+            raw, k = b.data.tobytes(), 0
             for i, doc_id in enumerate(b.ids.to_pylist()):
                 s, e = int(b.off[i]), int(b.off[i + 1])
-                g = gone[s:e]
-                kept = b.data[s:e]
-                n = int(np.count_nonzero(g))
-                spans = int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1])) if n else 0
-                kept = (kept[~g] if n else kept).tobytes()
+                n, spans = int(gone[i]), int(runs_[i])
+                parts, at_ = [], s
+                for x, y in zip(from_[k : k + spans].tolist(), to[k : k + spans].tolist(), strict=True):
+                    parts.append(raw[at_:x])
+                    at_ = y
+                k += spans
+                kept = b"".join((*parts, raw[at_:e]))
                 row = (doc_id, e - s, n, spans, hashlib.sha256(kept).hexdigest(), int(passages[i]), int(passage_words_[i]), kept)
                 for c, x in zip(cols.values(), row, strict=False):
                     c.append(x)
