@@ -61,7 +61,7 @@ from .shared import (
 )
 
 #: One shingle of so many is taken for the measured length of lists.
-_LIST_SAMPLE = 4096
+_LIST_SAMPLE = 1024
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -118,6 +118,19 @@ def least_overlap(n: int | np.ndarray, percent: int):  # noqa: ANN201
     return -(-percent * n // 100)
 
 
+def list_length(steps: list[tuple[float, float, float]], percent: int) -> float:
+    """Mean length of the lists that prefixes meet: prefixes have the rarest 100 - percent of a set's
+    shingles, and those that one set alone has are in no list. steps: power of two of the document
+    frequency, sum and sum of squares of it."""
+    steps = [s for s in steps if s[0] > 0]
+    room = (1 - percent / 100) * sum(a for _, a, _ in steps)
+    taken = total = 0.0
+    for _, a, b in sorted(steps):
+        share = min(1.0, max(0.0, room - taken) / a)
+        taken, total = taken + share * a, total + share * b
+    return total / taken if taken else 1.0
+
+
 def boundary(sizes: list[tuple[int, int]], list_length: float, percent: int) -> int:
     """The size from which inverted lists cost less than two-element subsets, over the measured
     sizes (size, count)."""
@@ -174,8 +187,9 @@ def linked_rows(docs: DataFrame, words: int = 5, percent: int = 80, block_bytes:
     step = F.floor(F.log2("n") * 8)
     sizes = [(int(r["m"]), int(r["c"])) for r in reps.where("n > 1").groupBy(step.alias("k")).agg(F.max("n").alias("m"), F.count("*").alias("c")).collect()]
     lengths = seen.select(F.explode("some").alias("s")).groupBy("s").agg(F.count("*").cast("double").alias("c"))
-    row = lengths.agg(F.sum("c").alias("a"), F.sum(F.col("c") * F.col("c")).alias("b")).first()
-    cut = boundary(sizes, (row["b"] or 1.0) / (row["a"] or 1.0), percent)
+    # at most one row for each power of two
+    steps = lengths.groupBy(F.ceil(F.log2("c")).alias("k")).agg(F.sum("c").alias("a"), F.sum(F.col("c") * F.col("c")).alias("b")).collect()
+    cut = boundary(sizes, list_length([(r["k"], r["a"], r["b"]) for r in steps], percent), percent)
 
     lists = _signatures(docs, reps, total, words, percent, cut, block_bytes, bucket_bytes)
     linked = _resolve(lists, percent, pivot_rounds, block_tokens)

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from fernwell.llm.embeddings import near_duplicates, plan_tables
-from fernwell.llm.jaccard import boundary, link_components
+from fernwell.llm.jaccard import boundary, link_components, list_length
 from fernwell.llm.shared import components
 from fernwell.llm.substrings import difference_cover, remove_repeats
 
@@ -75,6 +75,8 @@ def test_jaccard_empty_and_repeated(spark):
 def test_boundary_follows_cost():
     sizes = [(n, 10) for n in range(2, 400)]
     assert boundary(sizes, 2.0, 80) < boundary(sizes, 50.0, 80)
+    # of the occurrences of shared shingles the rarest fifth: what few very common ones have is no matter
+    assert list_length([(0, 500.0, 500.0), (1, 80.0, 160.0), (9, 320.0, 160_000.0)], 80) == 2.0 and list_length([], 80) == 1.0
 
 
 def brute_repeats(rows, n):
