@@ -1,7 +1,7 @@
 """Token files compressed by a Re-Pair grammar.
 
 A shard holds the ids of consecutive documents. Frequent pairs of neighbours are replaced by new
-symbols, round by round, until no pair is frequent; each rule and the length of its expansion are
+symbols, round by round, until no pair is frequent or a round saves next to nothing; each rule and the length of its expansion are
 stored, and where each document begins in the compressed sequence and in the ids, so that one
 document, or a range of its ids, is decoded without the others. Pairs never cross documents.
 
@@ -38,8 +38,9 @@ _HEAD = struct.Struct("<4s5IQ")
 
 def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int = 8) -> bytes:
     """A shard's payload. starts: first id of each document and the end (documents + 1). Rounds go on
-    until no pair occurs `least` times or the 16-bit symbols are used up; a round takes two
-    thirds of those that are left at most, so that later ones can build on its rules."""
+    until no pair occurs `least` times, the 16-bit symbols are used up, or a round has shortened the
+    shard by less than half a percent; a round takes seven
+    eighths of those that are left at most, so that later ones can build on its rules."""
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)  # no pair begins at a document's last symbol
     ends = starts[1:][np.diff(starts) > 0] - 1
@@ -57,7 +58,7 @@ def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int =
         often = np.flatnonzero(n >= least)
         if not len(often):
             break
-        often = often[np.argsort(-n[often], kind="stable")][: max(2 * room // 3, min(room, 512))]
+        often = often[np.argsort(-n[often], kind="stable")][: max(7 * room // 8, min(room, 2048))]
         pairs = s[first[often]]
         # pairs are looked up in a hash table; of pairs that fall together the most frequent stays
         table = np.zeros(1 << 20, np.uint16)
@@ -92,6 +93,8 @@ def compress(ids: np.ndarray, starts: np.ndarray, vocabulary: int, least: int =
         gone = np.zeros(len(seq), bool)
         gone[where + 1] = True
         seq, last = seq[~gone], last[~gone]
+        if 200 * len(where) < len(seq):
+            break
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     size = _sizes(table, vocabulary)
     lengths = size[vocabulary:]
