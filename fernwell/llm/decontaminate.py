@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column_bytes, documents_of, lower_ascii, ranges, runs, sorted_distinct, word_bounds, word_hashes
+from .shared import column_bytes, documents_of, lower_ascii, ranges, release, runs, sorted_distinct, word_bounds, word_hashes
 
 _BINS = 16
 _SLICE = 1 << 20
@@ -85,6 +85,7 @@ def weights(docs: DataFrame) -> np.ndarray:
 
     # at most 2^16 + 1 rows come back
     got = docs.select("text").mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    release(docs.sparkSession)
     count = np.zeros((1 << _BINS) + 1, np.int64)
     count[got["bin"].to_numpy()] = got["n"].to_numpy()
     return np.log((count[-1] + 1.0) / (count[:-1] + 1.0)).astype(np.float32) + np.float32(0.01)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, column_bytes, lower_ascii, runs, sorted_distinct, word_bounds, word_hashes
+from .shared import bounded_batches, column_bytes, lower_ascii, release, runs, sorted_distinct, word_bounds, word_hashes
 
 WORD_BITS, RANK, INTERVALS = 15, 8, 8
 N_STATS = 18
@@ -232,6 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 8000, target
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("y", "ascending")])
     )
+    release(docs.sparkSession)
     words = [np.frombuffer(x, np.int32) for x in got["words"].to_pylist()]
     stats = np.array(got["stats"].to_pylist(), np.float64).reshape(-1, N_STATS)
     # rows of one id are few; equal ids with different texts are put in order by their features

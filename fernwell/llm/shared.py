@@ -16,6 +16,7 @@ that a third of all rows share costs its bucket one entry per block, not one per
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
@@ -24,6 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +69,26 @@ def discard(*frames: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Gives memory that the driver no longer uses back to the system: what earlier plans left in the
+    heap (broadcasts, metadata of tasks), and what threads that compiled or ran them left in the
+    allocator, which otherwise keeps it. Results do not depend on it."""
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    gc.collect()
+    jvm.java.lang.System.gc()
+    try:
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        asked = (jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap", None, None)
+        args = array(jvm.java.lang.Object, len(asked))
+        for k, x in enumerate(asked):
+            args[k] = x
+        # through the interface, as the server's class is not open
+        connection = jvm.java.lang.Class.forName("javax.management.MBeanServerConnection")
+        next(m for m in connection.getMethods() if m.getName() == "invoke").invoke(server, args)
+    except Py4JError:  # not in every Java
+        pass
+
+
 #: Rows that go to a Python worker at once: texts are long, and workers share the executor's memory.
 ARROW_ROWS = 2000
 
@@ -360,7 +382,9 @@ def components(edges: DataFrame, label: str = "components", max_rounds: int = 60
 
     Alternates large-star and small-star steps, each a partial minimum and a join by node, until
     all edges point at the smallest node of their component. Rounds grow with the logarithm of the
-    longest path. Nothing is collected; the edges of each round lie in the shared folder."""
+    longest path. Nothing is collected; the edges of each round lie in the shared folder. The joins
+    are merges of what the minimum has dealt by node already: broadcasts would pass through the
+    driver, several a round, and stay in its memory for a while."""
     e = stash(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -372,11 +396,11 @@ def components(edges: DataFrame, label: str = "components", max_rounds: int = 60
         # large star: each node points its larger neighbours at its smallest neighbour or itself
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small star: each node points its smaller neighbours and itself at the smallest
         low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            large.join(low2, "a")
+            large.join(low2.hint("merge"), "a")
             .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
             .unionByName(low2.select("a", F.col("m").alias("b")))
             .where("a <> b")
@@ -388,7 +412,7 @@ def components(edges: DataFrame, label: str = "components", max_rounds: int = 60
         e = nxt
         now = (row["n"], row["d"], row["h"])
         # done: nothing changes, or each node has one parent and no parent has one
-        if now == before or row["n"] == row["d"] and e.join(e.select(F.col("a").alias("c")), F.col("b") == F.col("c"), "left_semi").isEmpty():
+        if now == before or row["n"] == row["d"] and e.join(e.select(F.col("a").alias("c")).hint("merge"), F.col("b") == F.col("c"), "left_semi").isEmpty():
             break
         before = now
     else:
@@ -397,6 +421,7 @@ def components(edges: DataFrame, label: str = "components", max_rounds: int = 60
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     out = found.unionByName(roots)
     out._stash_path = e._stash_path
+    release(e.sparkSession)
     return out
 
 
